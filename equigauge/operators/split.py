@@ -130,5 +130,7 @@ def stratified_folds(
     borders = hash_borders(df, y, key, seed, shares)
     mine = _of_class(borders, F.col("borders"), "array<string>", y)
     h = key_hash(key, seed)
-    passed = F.size(F.filter(mine, lambda b: h > b))
-    return df.withColumn("fold", F.coalesce(passed, F.lit(0)).cast("int"))
+    passed = [
+        F.when(h > F.try_element_at(mine, F.lit(j)), 1).otherwise(0) for j in range(1, folds)
+    ]
+    return df.withColumn("fold", sum(passed, F.lit(0)))

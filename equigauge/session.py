@@ -19,9 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="equigauge-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return tempfile.mkdtemp(prefix="equigauge-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
