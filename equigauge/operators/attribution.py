@@ -48,11 +48,11 @@ def tree_nodes(model: GBTClassificationModel, spark) -> pd.DataFrame:
         F.col("treeID").alias("tree"),
         F.col("nodeData.id").alias("id"),
         F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.impurityStats")[0].alias("cover"),
+        F.get("nodeData.impurityStats", F.lit(0)).alias("cover"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
     ).toPandas()
 
 

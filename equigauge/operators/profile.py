@@ -59,8 +59,10 @@ def missing_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]
     )
     total = sum((F.col(c) for c in columns), F.lit(0).cast("long"))
-    counts = counts.withColumn("*", total)
-    long = counts.unpivot(["_rows"], [*columns, "*"], "feature", "missing")
+    long = counts.withColumn("_all", total).unpivot(
+        ["_rows"], [*columns, "_all"], "feature", "missing"
+    )
+    long = long.replace("_all", "*", "feature")
     cells = F.when(F.col("feature") == "*", F.col("_rows") * len(columns)).otherwise(F.col("_rows"))
     return long.select(
         "feature", cells.alias("cells"), "missing", ratio(F.col("missing"), cells).alias("share")

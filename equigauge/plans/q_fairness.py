@@ -48,7 +48,7 @@ au as (
 
 
 AUDIT = audit_cte("a")
-RUN_AUDIT = "\nar as (select *, year(order_ts) as run from a)," + audit_cte("ar", "run")
+RUN_AUDIT = "\nar as (select *, cast(year(order_ts) as int) as run from a)," + audit_cte("ar", "run")
 
 
 def audit(spark, sf):
@@ -229,9 +229,9 @@ def j6(spark, sf):
     "f10_audit_coverage",
     scored_sql(
         """select 'race' as dim, count(*) as rows, count(*) filter (race <> '5') as audited,
-  0 as in_small_groups, count(*) filter (race = '5') as without_label from a
-union all select 'sex', count(*), count(*), 0, 0 from a
-union all select 'nativity', count(*), count(*), 0, 0 from a"""
+  cast(0 as bigint) as in_small_groups, count(*) filter (race = '5') as without_label from a
+union all select 'sex', count(*), count(*), cast(0 as bigint), cast(0 as bigint) from a
+union all select 'nativity', count(*), count(*), cast(0 as bigint), cast(0 as bigint) from a"""
     ),
 )
 def f10(spark, sf):

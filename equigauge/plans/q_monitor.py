@@ -147,8 +147,8 @@ def t3_live(spark, sf):
     "t3_live_coverage",
     scored_sql(
         """select 'race' as dim, count(*) as rows, count(*) filter (race <> '5') as audited,
-  0 as in_small_groups, count(*) filter (race = '5') as without_label from kn
-union all select 'sex', count(*), count(*), 0, 0 from kn""",
+  cast(0 as bigint) as in_small_groups, count(*) filter (race = '5') as without_label from kn
+union all select 'sex', count(*), count(*), cast(0 as bigint), cast(0 as bigint) from kn""",
         KNOWN,
     ),
 )

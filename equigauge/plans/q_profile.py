@@ -196,7 +196,7 @@ def _most_common_sql(column: str, numeric: bool) -> str:
     return f"""select side, '{column}' as feature, v as most_common, n as most_common_n from (
   select side, {text} as v, count(*) as n, row_number() over (
     partition by side order by count(*) desc, {text}) as r
-  from both where {column} is not null group by 1, 2) where r = 1"""
+  from two_sides where {column} is not null group by 1, 2) where r = 1"""
 
 
 def _quality_plain_sql(column: str, numeric: bool) -> str:
@@ -206,7 +206,7 @@ def _quality_plain_sql(column: str, numeric: bool) -> str:
   {r4(f"avg({x})")} as mean, {r4(f"stddev_samp({x})")} as std,
   count(distinct {column}) as "distinct", {r4(f"quantile_cont({x}, 25e-2)")} as q25,
   {r4(f"quantile_cont({x}, 5e-1)")} as q50, {r4(f"quantile_cont({x}, 75e-2)")} as q75
-  from both group by side"""
+  from two_sides group by side"""
 
 
 QUALITY_COLUMNS = (("age", True), ("hours_per_week", True), ("education", False))
@@ -220,7 +220,7 @@ from ({" union all ".join(_quality_plain_sql(*c) for c in QUALITY_COLUMNS)}) q
 join ({" union all ".join(_most_common_sql(*c) for c in QUALITY_COLUMNS)}) c
   on q.side = c.side and q.feature = c.feature""",
         """
-both as (select case when order_ts < timestamp '1998-01-01' then 'reference' else 'current' end as side,
+two_sides as (select case when order_ts < timestamp '1998-01-01' then 'reference' else 'current' end as side,
   age, hours_per_week, education from a)""",
     ),
 )
@@ -368,7 +368,7 @@ def run_metrics(spark, sf):
 
 
 RUN_CTE = f"""
-ar as (select *, year(order_ts) as run from a),
+ar as (select *, cast(year(order_ts) as int) as run from a),
 rk as (select *, rank() over (partition by run order by score)
   + (count(*) over (partition by run, score) - 1) / 2e0 as rnk from ar),
 rc as (

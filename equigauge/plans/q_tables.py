@@ -114,7 +114,7 @@ def _stored_splits(spark, sf):
 )
 def s5(spark, sf):
     stored = spark.read.parquet(_stored_splits(spark, sf)[1])
-    return stored.select("person_id", "race", "sex", "nativity", "high_income", "is_test")
+    return stored.select("person_id", "race", "sex", "nativity", "high_income", F.col("is_test").cast("boolean").alias("is_test"))
 
 
 @query(
@@ -446,13 +446,13 @@ def p14(spark, sf):
 @query(
     "p15_check_contract",
     raw_sql(
-        """select t.*, case "column" when 'person_id' then count(*) filter (person_id is null)
-  when 'age' then count(*) filter (age is null) when 'education' then count(*) filter (education is null)
-  when 'hours_per_week' then count(*) filter (hours_per_week is null) end as nulls
-from (values (0, 'person_id', 'bigint', 'bigint', 'ok'), (1, 'age', 'double', 'int', 'type_differs'),
+        """select t.position, t."column", t.expected, t.actual, t.status, case "column" when 'person_id' then ni when 'age' then na when 'education' then ne
+  when 'hours_per_week' then nh else 0 end as nulls
+from (select count(*) filter (person_id is null) as ni, count(*) filter (age is null) as na,
+    count(*) filter (education is null) as ne, count(*) filter (hours_per_week is null) as nh from raw), (values (0, 'person_id', 'bigint', 'bigint', 'ok'), (1, 'age', 'double', 'int', 'type_differs'),
   (2, 'education', 'string', 'string', 'ok'), (3, 'income', 'double', null, 'missing'),
   (4, 'hours_per_week', 'double', 'double', 'order_differs'))
-  as t(position, "column", expected, actual, status), raw group by all"""
+  as t(position, "column", expected, actual, status)"""
     ),
 )
 def p15(spark, sf):
@@ -467,7 +467,8 @@ def p15(spark, sf):
     )
     raw = ap.raw_applicants(spark, sf).select("person_id", "age", "education", "hours_per_week")
     nulls = profile.null_counts(raw).withColumnRenamed("feature", "column")
-    return clean.check_contract(raw, expected).join(nulls, "column", "left")
+    found = clean.check_contract(raw, expected).join(nulls, "column", "left")
+    return found.withColumn("nulls", F.coalesce("nulls", F.lit(0)))
 
 
 # --- joins ---------------------------------------------------------------------------
@@ -491,7 +492,7 @@ def j2(spark, sf):
     "j2_attach_report",
     split_sql(
         """select count(*) as scored_rows, count(*) filter (is_test) as joined_rows,
-  count(*) filter (not is_test) as without_group, 0 as repeated_keys,
+  count(*) filter (not is_test) as without_group, cast(0 as bigint) as repeated_keys,
   count(*) = count(*) filter (is_test) as complete from sp"""
     ),
 )
