@@ -10,6 +10,7 @@ from equigauge.plans import applicants as ap
 from equigauge.plans.registry import query, r4, scored_sql
 from equigauge.roles import LIMITS, ROLES
 from equigauge.session import new_path
+from equigauge.streaming import alarms as stream_alarms
 from equigauge.streaming import drift as stream_drift
 from equigauge.streaming import labels as stream_labels
 from equigauge.streaming import windows as stream_windows
@@ -160,11 +161,9 @@ def t3_coverage(spark, sf):
 # --- streams: a finite run over the given tables, closed by the end of the input ----------
 
 
-def _run_to_end(writer, path: str):
-    query_ = (
-        writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    )
-    query_.awaitTermination()
+def _run_to_end(writer, path: str) -> None:
+    options = writer.option("checkpointLocation", f"{path}/checkpoint")
+    options.trigger(availableNow=True).start().awaitTermination()
 
 
 def _stream(spark, df, name: str):
@@ -190,6 +189,32 @@ def t1_stream(spark, sf):
     )
 
 
+@query(
+    "t2_stream_alarms",
+    f"""with {WINDOWS},
+cal as (select unnest(generate_series((select min(w) from ww), (select max(w) from ww), 300)) as w),
+st as (
+  select cal.w, coalesce(n, 0) < 1 as b1, coalesce(error_rate > 3e-1, false) as b2
+  from cal left join ww on cal.w = ww.w)
+select 'all' as endpoint, * from (
+  select 'availability' as rule, w as window_start, b1 as breach,
+    coalesce(b1 and lag(b1, 1) over (order by w), false) as alarm from st
+  union all select 'errors', w, b2,
+    coalesce(b2 and lag(b2, 1) over (order by w) and lag(b2, 2) over (order by w), false) from st)
+where (window_start + 300) * 1000000 <= (select max(epoch_us(ts)) from events) - 600 * 1000000""",
+)
+def t2_stream(spark, sf):
+    path = new_path(spark, "stream-alarms")
+    requests = events(spark, sf).withColumn("endpoint", F.lit("all"))
+    closed = stream_windows.stream_windows(_stream(spark, requests, "requests"), by=["endpoint"])
+    spark.conf.set(stream_alarms.PROVIDER_KEY, stream_alarms.PROVIDER)
+    states = stream_alarms.stream_alarms(closed, RULES[:2], "endpoint")
+    _run_to_end(states.writeStream.format("parquet").option("path", f"{path}/out"), path)
+    return spark.read.parquet(f"{path}/out").withColumn(
+        "window_start", F.unix_seconds("window_start")
+    )
+
+
 @query("t3_stream_delayed_labels", scored_sql("select person_id, score, high_income as outcome from kn", KNOWN))
 def t3_stream(spark, sf):
     path = new_path(spark, "stream-labels")

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from equigauge.operators.monitor import BREACHING, PERIOD_SECONDS, AlarmRule
 
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
