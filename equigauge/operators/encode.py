@@ -66,14 +66,26 @@ def mode_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(fills)
 
 
+def _small(table: DataFrame, max_rows: int) -> DataFrame | None:
+    """The table as local rows if it has at most ``max_rows``; reads its input once."""
+    rows = table.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return table.sparkSession.createDataFrame(rows, table.schema)
+
+
+def _ranked(counts: DataFrame) -> DataFrame:
+    w = Window.partitionBy("feature").orderBy("code")
+    return counts.select("feature", "code", (F.row_number().over(w) - 1).alias("idx"))
+
+
 def fit_codes(df: DataFrame, columns: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Position of every code in the code-point order of its feature, from 0."""
     counts = code_counts(df, columns)
-    codes = counts.select("feature", "code")
-    if codes.limit(max_rows + 1).count() <= max_rows:
-        w = Window.partitionBy("feature").orderBy("code")
-        return codes.withColumn("idx", F.row_number().over(w) - 1)
-    return rank_in_ranges(codes, "feature", "code")
+    small = _small(counts, max_rows)
+    if small is not None:
+        return _ranked(small)
+    return rank_in_ranges(counts.select("feature", "code"), "feature", "code")
 
 
 def rank_in_ranges(codes: DataFrame, group: str, value: str) -> DataFrame:
@@ -208,19 +220,23 @@ class Preprocessor(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsW
 
     def _fit(self, dataset: DataFrame) -> PreprocessorModel:
         spark = dataset.sparkSession
-        columns = self._names(dataset, self.categorical)
-        codes = fit_codes(dataset, columns)
-        fill = modes(code_counts(dataset, columns)).select(
-            "feature", "code", F.lit(True).alias("is_fill")
-        )
+        counts = code_counts(dataset, self._names(dataset, self.categorical))
+        small = _small(counts, BROADCAST_ROWS)
+        if small is None:
+            counts = materialize(counts, "code-counts")
+            codes = rank_in_ranges(counts.select("feature", "code"), "feature", "code")
+        else:
+            counts, codes = small, _ranked(small)
+        fill = modes(counts).select("feature", "code", F.lit(True).alias("is_fill"))
         table = codes.join(fill, ["feature", "code"], "left").select(
             "feature", "code", "idx", F.coalesce("is_fill", F.lit(False)).alias("is_fill")
         )
-        first = table.limit(BROADCAST_ROWS + 1).collect()
-        if len(first) <= BROADCAST_ROWS:
-            rows, table = len(first), spark.createDataFrame(first, CODE_SCHEMA)
+        rows = None
+        if small is None:
+            table = materialize(table, "codes")
         else:
-            rows, table = None, materialize(table, "codes")
+            local = table.collect()
+            rows, table = len(local), spark.createDataFrame(local, CODE_SCHEMA)
         stats = fit_scaler(dataset, self._names(dataset, self.numeric)).collect()
         model = PreprocessorModel(table, spark.createDataFrame(stats, STATS_SCHEMA), rows)
         return self._copyValues(model)

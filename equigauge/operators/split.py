@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from equigauge.functions.scalar import literal_map
 from equigauge.roles import LIMITS
 
 PREFIX = 4
@@ -93,16 +94,20 @@ def hash_borders(df: DataFrame, y: str, key: str, seed: int, shares: list[float]
     )
 
 
-def _of_class(borders: DataFrame, value: Column, kind: str, y: str) -> Column:
-    """Value of the row's own class from a table with one row per class."""
-    entries = F.collect_list(F.struct(F.col("y").cast("string"), value.alias("v")))
-    table = borders.agg(F.map_from_entries(entries).alias("m")).select(
-        F.when(
-            F.size("m") > MAX_CLASSES,
-            F.raise_error(F.lit(f"more than {MAX_CLASSES} classes")).cast(f"map<string,{kind}>"),
-        ).otherwise(F.col("m"))
-    )
-    return F.element_at(table.scalar(), F.col(y).cast("string"))
+def _fitted_borders(borders: DataFrame) -> dict[str, list[str]]:
+    """Borders per class, a few hashes; later uses of the split are then plain columns."""
+    rows = borders.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes; is this a label?")
+    return {str(r["y"]): list(r["borders"]) for r in rows}
+
+
+def _of_class(y: str, found: dict[str, list[str]], place: int) -> Column:
+    """The row's own border, NULL where its class has none at this place."""
+    own = {c: b[place] for c, b in found.items() if len(b) > place}
+    if not own:
+        return F.lit(None).cast("string")
+    return literal_map(own)[F.col(y).cast("string")]
 
 
 def stratified_split(
@@ -113,9 +118,9 @@ def stratified_split(
     seed: int = LIMITS.seed,
 ) -> DataFrame:
     """Adds ``is_test``: exactly round(share * n) records of every class."""
-    borders = hash_borders(df, y, key, seed, [share])
-    border = _of_class(borders, F.element_at("borders", 1), "string", y)
-    return df.withColumn("is_test", F.coalesce(key_hash(key, seed) <= border, F.lit(False)))
+    found = _fitted_borders(hash_borders(df, y, key, seed, [share]))
+    inside = key_hash(key, seed) <= _of_class(y, found, 0)
+    return df.withColumn("is_test", F.coalesce(inside, F.lit(False)))
 
 
 def stratified_folds(
@@ -127,10 +132,7 @@ def stratified_folds(
 ) -> DataFrame:
     """Adds ``fold`` 0..folds-1; fold sizes per class differ by at most one."""
     shares = [j / folds for j in range(1, folds)]
-    borders = hash_borders(df, y, key, seed, shares)
-    mine = _of_class(borders, F.col("borders"), "array<string>", y)
+    found = _fitted_borders(hash_borders(df, y, key, seed, shares))
     h = key_hash(key, seed)
-    passed = [
-        F.when(h > F.try_element_at(mine, F.lit(j)), 1).otherwise(0) for j in range(1, folds)
-    ]
+    passed = [F.when(h > _of_class(y, found, j), 1).otherwise(0) for j in range(folds - 1)]
     return df.withColumn("fold", sum(passed, F.lit(0)))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from equigauge.session import new_path
 
 RACE = {"1": "Group A", "2": "Group B", "3": "Group C", "4": "Group D"}
 SEX = {"1": "Male", "2": "Female"}
@@ -11,10 +14,24 @@ NATIVITY = {"1": "Native born", "2": "Foreign born"}
 DIMS = {"race": RACE, "sex": SEX, "nativity": NATIVITY}
 LABEL_CUT = 390_000.0
 EPOCH = "1995-01-01"
+SCORED_SCHEMA = (
+    "person_id bigint, wage_income double, age int, education string, occupation string, "
+    "class_of_worker string, marital_status string, hours_per_week double, person_weight bigint, "
+    "race string, sex string, nativity string, order_ts timestamp_ntz, high_income int, "
+    "score double, pred int"
+)
+
+
+_schemas: dict[str, StructType] = {}
+_stored: dict[tuple[str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One given table; its schema is read from the files only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def raw_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +68,19 @@ def raw_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid records with label, score and class, written once per session.
+
+    Metrics, audit and drift pass over the scored table more than once; stored,
+    each pass is a scan of the few columns it needs instead of the joins again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        _stored[key] = new_path(spark, "scored")
+        score_applicants(spark, sf_dir).write.parquet(_stored[key])
+    return spark.read.schema(SCORED_SCHEMA).parquet(_stored[key])
+
+
+def score_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid records with label, score and class."""
     from equigauge.operators.clean import classify, drop_invalid, label, validity_rules
 

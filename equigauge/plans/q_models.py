@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from equigauge.functions.scalar import round_half_up
 from equigauge.operators import attribution, encode, models
 from equigauge.plans import applicants as ap
-from equigauge.plans.q_tables import _split
+from equigauge.plans.q_tables import _stored_split
 from equigauge.plans.registry import query, r4, scored_sql
 from equigauge.roles import ROLES
 from equigauge.session import materialize
@@ -22,12 +22,23 @@ SMALL_SPACE = {
 }
 
 
+_ready: dict[tuple[str, str], tuple] = {}
+
+
 def _prepared(spark, sf):
-    """Split, fit on the training side, transform; written once for the fits."""
-    tagged = materialize(_split(spark, sf), "split")
-    prep = encode.Preprocessor().fit(tagged.where("not is_test"))
-    ready = prep.transform(tagged).join(tagged.select(ROLES.key, "is_test"), ROLES.key)
-    ready = materialize(ready, "prepared")
+    """Split, fit on the training side, transform; written once per session for the fits."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ready:
+        tagged = _stored_split(spark, sf)
+        prep = encode.Preprocessor().fit(tagged.where("not is_test"))
+        sides = [
+            prep.transform(tagged.where(F.col("is_test") == F.lit(test))).withColumn(
+                "is_test", F.lit(test)
+            )
+            for test in (False, True)
+        ]
+        _ready[key] = tagged, prep, materialize(sides[0].unionAll(sides[1]), "prepared")
+    tagged, prep, ready = _ready[key]
     return tagged, prep, ready.where("not is_test"), ready.where("is_test")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from equigauge.functions.scalar import round_half_up
 from equigauge.operators import encode, metrics, prefix, profile, split
 from equigauge.plans import applicants as ap
-from equigauge.plans.q_tables import CODES_SQL, _early_late, _split
+from equigauge.plans.q_tables import CODES_SQL, _early_late, _split, _stored_split
 from equigauge.plans.registry import query, r4, raw_sql, scored_sql, split_sql
 from equigauge.roles import ROLES
 
@@ -254,7 +254,7 @@ join codes s on s.feature = 'marital_status' and s.code = t.marital_status""",
     ),
 )
 def l12(spark, sf):
-    tagged = _split(spark, sf)
+    tagged = _stored_split(spark, sf)
     model = encode.Preprocessor().fit(tagged.where("not is_test"))
     return _rounded(model.transform(tagged), "age", "hours_per_week")
 
