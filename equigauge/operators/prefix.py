@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 BUCKET = "_bucket"
 VALUES_PER_BUCKET = 500_000
 MAX_BUCKETS = 2048
-CHUNKS = 64
+CHUNKS = 512
 
 
 def cut_points(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from equigauge.functions.scalar import round_half_up
 from equigauge.operators import fairness, monitor
 from equigauge.plans import applicants as ap
+from equigauge.plans.q_drift import VALUES, _pair
 from equigauge.plans.registry import query, r4, scored_sql
 from equigauge.roles import LIMITS, ROLES
 from equigauge.session import new_path
@@ -228,12 +229,20 @@ def t3_stream(spark, sf):
     return spark.read.schema("person_id long, score double, outcome int").parquet(f"{path}/out")
 
 
-@query("t4_drift_stream")
+@query(
+    "t4_drift_stream",
+    scored_sql(
+        """select *, (select count(*) from pr where not is_ref) as rows from cd
+where feature in ('education', 'marital_status', 'age')""",
+        VALUES,
+    ),
+)
 def t4(spark, sf):
     path = new_path(spark, "stream-drift")
-    scored = ap.scored_applicants(spark, sf).select("education", "marital_status", "age", "order_ts")
-    ref = scored.where("order_ts < timestamp'1998-01-01'").drop("order_ts")
-    cur = scored.where("order_ts >= timestamp'1998-01-01'").drop("order_ts")
-    stream = _stream(spark, cur, "arriving")
-    _run_to_end(stream_drift.drift_stream(stream, ref, ref.columns, f"{path}/out"), path)
-    return spark.read.parquet(f"{path}/out/columns")
+    columns = ["education", "marital_status", "age"]
+    ref, cur = _pair(spark, sf)
+    stream = _stream(spark, cur.select(*columns), "arriving")
+    _run_to_end(stream_drift.drift_stream(stream, ref, columns, f"{path}/out"), path)
+    return spark.read.parquet(f"{path}/out/columns").drop("batch").withColumn(
+        "rows", F.col("rows").cast("long")
+    )

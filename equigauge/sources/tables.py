@@ -14,8 +14,14 @@ from equigauge.roles import ROLES, Roles
 def write_snapshot(
     df: DataFrame, path: str, day: date, partitions: Sequence[str] = ()
 ) -> None:
-    """Store a dated snapshot; a second run on the same day replaces the first."""
+    """Store a dated snapshot; a second run on the same day replaces the first.
+
+    With further partitions the rows are rebalanced first: even files, a large
+    partition in several of them, instead of one per task and partition.
+    """
     dated = df.withColumn("snapshot_date", F.lit(day))
+    if partitions:
+        dated = dated.hint("rebalance", *partitions)
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "snapshot_date", *partitions
     ).parquet(path)

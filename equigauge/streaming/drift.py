@@ -23,12 +23,14 @@ def drift_stream(
     def compare(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            found = column_drift(reference, batch, columns).persist()
-            for name, table in (("columns", found), ("summary", drift_summary(found))):
-                table.withColumn("rows", F.lit(batch.count())).write.mode("overwrite").parquet(
-                    f"{path}/{name}/batch={number}"
-                )
-            found.unpersist()
+            rows = F.lit(batch.count())
+            found = column_drift(reference, batch, columns).withColumn("rows", rows)
+            found.write.mode("overwrite").parquet(f"{path}/columns/batch={number}")
+            stored = batch.sparkSession.read.schema(found.schema).parquet(
+                f"{path}/columns/batch={number}"
+            )
+            summary = drift_summary(stored).withColumn("rows", rows)
+            summary.write.mode("overwrite").parquet(f"{path}/summary/batch={number}")
         finally:
             batch.unpersist()
 
