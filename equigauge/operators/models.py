@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from equigauge.functions.scalar import round_half_up
 from equigauge.operators.split import stratified_folds
 from equigauge.roles import LIMITS, ROLES
+from equigauge.session import ensure_checkpoint_dir
 
 FEATURES = "features"
 
@@ -164,6 +165,7 @@ def fit_gbt(
 ) -> GBTClassificationModel:
     """Boosted trees with record weights and a class weight for positives."""
     p = {**GBT_DEFAULTS, **(params or {})}
+    ensure_checkpoint_dir(df.sparkSession)
     table = assemble(_weighted(df, weight, y, p["scale_pos_weight"]), features)
     total = table.agg(F.sum("_w")).first()[0] or 1.0
     return _gbt(p, total, seed, y).fit(table)
@@ -196,6 +198,7 @@ def search(
     y: str = ROLES.label,
 ) -> Tuned:
     """Random search by mean fold AUC; the best draw is refitted on all rows."""
+    ensure_checkpoint_dir(df.sparkSession)
     table = stratified_folds(df, y, key, folds, seed)
     drawn = draw_params(space, trials, seed)
     rows = []

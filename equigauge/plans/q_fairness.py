@@ -70,10 +70,7 @@ def f1_runs(spark, sf):
     return run_audit(spark, sf)
 
 
-DOC_DIMS = {
-    "lang": {"en": "English", "fr": "French", "de": "German", "es": "Spanish"},
-    "source": {f"src{i}": f"Source {i}" for i in range(20)},
-}
+LANGUAGES = {"en": "English", "fr": "French", "de": "German", "es": "Spanish"}
 
 
 @query(
@@ -100,7 +97,7 @@ def f1_small(spark, sf):
     marks = ap.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("high_income"))
     score = F.col("n_chars") / (F.col("n_chars") + F.lit(2e3))
     scored = clean.classify(docs.join(marks, "doc_id").withColumn("score", score))
-    return fairness.fairness_audit(scored, {"lang": DOC_DIMS["lang"]})
+    return fairness.fairness_audit(scored, {"lang": LANGUAGES})
 
 
 @query(

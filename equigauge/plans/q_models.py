@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from equigauge.functions.scalar import round_half_up
 from equigauge.operators import attribution, encode, models
 from equigauge.plans import applicants as ap
 from equigauge.plans.q_tables import _stored_split
-from equigauge.plans.registry import query, r4, scored_sql
+from equigauge.plans.registry import query, r4, scored_sql, split_sql
 from equigauge.roles import ROLES
 from equigauge.session import materialize
 
@@ -122,6 +123,22 @@ def l10_trees(spark, sf):
     return attribution.attribute_trees(test, model, FEATURES)
 
 
+@query(
+    "l10_tree_attribution_adds_up",
+    split_sql("select person_id, true as adds_up from sp where is_test"),
+)
+def l10_sum(spark, sf):
+    """Base value and attributions of every test record give its raw score."""
+    _, _, train, test = _prepared(spark, sf)
+    model = models.fit_gbt(train, FEATURES, SMALL_TREES)
+    parts = attribution.attribute_trees(test, model, FEATURES)
+    raw = vector_to_array("rawPrediction")[1]
+    margin = model.transform(models.assemble(test, FEATURES)).select(ROLES.key, raw.alias("margin"))
+    total = sum((F.col(c) for c in FEATURES), F.col("base"))
+    close = F.abs(total - F.col("margin")) < F.lit(1e-9)
+    return parts.join(margin, ROLES.key).select(ROLES.key, close.alias("adds_up"))
+
+
 @query(
     "l11_attribution_summary",
     scored_sql(

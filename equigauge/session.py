@@ -27,6 +27,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let long iterations cut their lineage; keeps a folder that is already set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back.
 
