@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from equigauge.functions.scalar import round_half_up
@@ -163,8 +164,16 @@ def t3_coverage(spark, sf):
 
 
 def _run_to_end(writer, path: str) -> None:
+    """Run a stream over what is there; one state partition per core is enough for that."""
+    spark = SparkSession.active()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    fewer = min(int(before), spark.sparkContext.defaultParallelism)
     options = writer.option("checkpointLocation", f"{path}/checkpoint")
-    options.trigger(availableNow=True).start().awaitTermination()
+    spark.conf.set("spark.sql.shuffle.partitions", str(fewer))
+    try:
+        options.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def _stream(spark, df, name: str):
