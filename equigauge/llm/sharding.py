@@ -72,7 +72,8 @@ def interleave(rows: DataFrame, stratum: str, order: list[str], shards: int, see
     at = offsets(counts, ["stratum"]).join(totals, "stratum")
     # a few numbers per stratum and bucket; the size is the join's to judge
     at = materialize(at, "stratum-offsets")
-    # numbering inside a bucket needs the rows of a bucket together, of every stratum at most some rows_per_bucket
+    # buckets are dealt out by number alone: each has as many rows, however large a stratum is
+    drawn = drawn.repartition("bucket")
     inside = Window.partitionBy("stratum", "bucket").orderBy(F.shiftrightunsigned("draw", 1), "draw", *keys)
     numbered = drawn.withColumn("inside", F.row_number().over(inside) - 1)
     placed = numbered.join(at, ["stratum", "bucket"])
