@@ -95,12 +95,13 @@ def positions(calls: DataFrame) -> DataFrame:
     at = F.when(F.col("is_call"), F.col("parent_id"))
     state = state.select("call_id", at.alias("at"), F.when(at.isNotNull(), 1).otherwise(0).cast("bigint").alias("depth"))
     state = materialize(state, "call-order")
-    n, stretch = state.where("at IS NOT NULL").count(), 1
-    while n and stretch <= 2 * n:
+    # a round that gets no call to its front leaves only rings and what waits for them
+    n, before = state.where("at IS NOT NULL").count(), None
+    while n and n != before:
         back = state.select(F.col("call_id").alias("at"), F.col("at").alias("next_at"), F.col("depth").alias("more"))
         state = state.join(back, "at", "left").select("call_id", F.col("next_at").alias("at"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
         state = materialize(state, "call-order")
-        n, stretch = state.where("at IS NOT NULL").count(), 2 * stretch
+        n, before = state.where("at IS NOT NULL").count(), n
     return state.select("call_id", F.when(F.col("at").isNull(), F.col("depth")).alias("depth"))
 
 

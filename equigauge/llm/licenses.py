@@ -110,6 +110,10 @@ FIXED = [
 SCORES = (1.0, 0.9, 0.6)
 
 
+#: Words of names that tell little; no keyword if a name has another.
+COMMON_WORDS = set("license version public general free software open source in the you want to do what".split())
+
+
 @dataclass(frozen=True)
 class SignatureRule:
     order: int  # the earlier, the stronger
@@ -123,7 +127,7 @@ def license_rules() -> list[SignatureRule]:
     rules = [SignatureRule(order, label, keyword, pattern) for label, keyword, pattern, order in FIXED]
     for label, names in NAMES.items():
         for name in names:
-            keyword = max(name.split(), key=len)
+            keyword = max([w for w in name.split() if w not in COMMON_WORDS] or name.split(), key=len)
             tail = "" if " license" in name else "(?: public)?(?: licen[sc]e)?"
             version = "(?: (?:version|v) [0-9]+(?: [0-9]+)?)?"
             grant = "(?:licen[sc]ed|released|distributed|available|provided|published|redistributed)"
@@ -141,41 +145,66 @@ def license_rules() -> list[SignatureRule]:
     return rules
 
 
-#: A text without any of these has no detection: each rule and phrase holds one.
-GATE = (
-    r"(?i)licen[sc]e|spdx|gpl|gnu|agpl|affero|creative|cc0|permission|redistribution|unencumbered|proprietary|reserved|warranty"
-    rf"|public{SEPARATOR}domain|cc{SEPARATOR}by|(?:released|distributed|available|provided|published){SEPARATOR}under"
-)
+#: A text without any of these has no detection: each rule and phrase holds one. Of a
+#: pair, the expression is looked at only where the plain word is found.
+GATE_WORDS = "licen spdx gpl gnu affero creative cc0 permission redistribution unencumbered proprietary reserved warranty".split()
+GATE_PAIRS = {
+    "domain": f"public{SEPARATOR}domain",
+    "cc": f"cc{SEPARATOR}by",
+    "under": f"(?:released|distributed|available|provided|published){SEPARATOR}under",
+}
+
+
+def gate(lowered: Column) -> Column:
+    out = F.lit(False)
+    for word in GATE_WORDS:
+        out = out | lowered.contains(word)
+    for word, expression in GATE_PAIRS.items():
+        out = out | (lowered.contains(word) & lowered.rlike(expression))
+    return out
 
 
-def words_line(text: Column) -> Column:
-    """The words of a text, lower case, with single spaces between."""
-    line = F.regexp_replace(F.translate(text, UPPER, UPPER.lower()), SEPARATOR, " ")
-    return F.btrim(line, F.lit(" "))
+def n_words(spaced: Column) -> Column:
+    """Words of a text whose separators are single spaces."""
+    spaces = F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit("")))
+    ends = spaced.startswith(" ").cast("int") + spaced.endswith(" ").cast("int")
+    return F.when(spaced == "", F.lit(0)).otherwise(spaces + 1 - ends).cast("bigint")
 
 
-def n_words(text: Column) -> Column:
-    """Words of a text: places where a separator or the start is followed by a word."""
-    line = F.btrim(F.regexp_replace(text, SEPARATOR, " "), F.lit(" "))
-    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    return F.when(line == "", F.lit(0)).otherwise(spaces + 1).cast("bigint")
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def places(line: Column, expression: Column) -> Column:
     """First and last word of every match of an expression (a column of text) in a line of words."""
     whole = F.concat(F.lit("(?<![^ ])("), expression, F.lit(")(?![^ ])"))
-    marked = F.split(F.regexp_replace(line, whole, F.lit(f"{START}$1{END}")), " ")
-    numbered = F.transform(marked, lambda w, i: F.struct(i.alias("at"), w.alias("w")))
-    starts = F.transform(F.filter(numbered, lambda x: x["w"].startswith(START)), lambda x: x["at"])
-    ends = F.transform(F.filter(numbered, lambda x: x["w"].endswith(END)), lambda x: x["at"])
-    return F.arrays_zip(starts.alias("first"), ends.alias("last"))
+
+    def numbers(words: Column, marks) -> Column:
+        return F.array_compact(F.transform(words, lambda w, i: F.when(marks(w), i)))
+
+    def found(words: Column) -> Column:
+        first = numbers(words, lambda w: w.startswith(START))
+        return F.arrays_zip(first.alias("first"), numbers(words, lambda w: w.endswith(END)).alias("last"))
+
+    def of_marked(marked: Column) -> Column:
+        cut = F.when(marked.contains(START), F.split(marked, " ")).otherwise(F.array().cast("array<string>"))
+        return once(cut, found)
+
+    return once(F.regexp_replace(line, whole, F.lit(f"{START}$1{END}")), of_marked)
 
 
 def detections(line: Column, rules: list[SignatureRule]) -> Column:
     """All matches of all rules whose keyword is a word of the line."""
-    table = F.array(*[F.struct(F.lit(r.order).alias("order"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.expression).alias("expression")) for r in rules])
-    present = F.array_intersect(F.split(line, " "), F.array(*[F.lit(k) for k in sorted({r.keyword for r in rules})]))
-    open_rules = F.filter(table, lambda r: F.array_contains(present, r["keyword"]))
+    by_keyword: dict[str, list[SignatureRule]] = {}
+    for r in rules:
+        by_keyword.setdefault(r.keyword, []).append(r)
+    entries = []
+    for keyword, own in sorted(by_keyword.items()):
+        listed = [F.struct(F.lit(r.order).alias("order"), F.lit(r.label).alias("label"), F.lit(r.expression).alias("expression")) for r in own]
+        entries += [F.lit(keyword), F.array(*listed)]
+    present = F.array_intersect(F.split(line, " "), F.array(*[F.lit(k) for k in sorted(by_keyword)]))
+    open_rules = F.flatten(F.transform(present, lambda k: F.element_at(F.create_map(*entries), k)))
     return F.flatten(
         F.transform(
             open_rules,
@@ -192,7 +221,10 @@ def scan(docs: DataFrame, rules: list[SignatureRule] | None = None) -> DataFrame
     rules = license_rules() if rules is None else rules
     text = F.coalesce(F.col("text"), F.lit(""))
     seen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("t"), F.monotonically_increasing_id().alias("row"))
-    seen = seen.select("doc_id", "row", n_words(F.col("t")).alias("n_words"), F.when(F.col("t").rlike(GATE), words_line(F.col("t"))).alias("line"))
+    # each of these is used several times below
+    seen = seen.select("doc_id", "row", F.lower("t").alias("lowered"), F.regexp_replace("t", SEPARATOR, " ").alias("spaced"))
+    words_line = F.translate(F.btrim("spaced", F.lit(" ")), UPPER, UPPER.lower())
+    seen = seen.select("doc_id", "row", n_words(F.col("spaced")).alias("n_words"), F.when(gate(F.col("lowered")), words_line).alias("line"))
     line = F.col("line")
     phrases = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(phrase).alias("phrase")) for phrase, label in BASE.items()])
     base = F.flatten(
