@@ -40,7 +40,7 @@ from equigauge.session import materialize, new_path
 MAGIC = b"EQTF"
 BLOCK = 4096
 PERCENTILE = 90
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 FILE_DOCS = 500_000
 MANIFEST = "file string, part int, seq int, n_docs bigint, n_ids bigint, n_bytes bigint"
 TOKENS = "doc_id bigint, ids binary, n_tokens bigint"

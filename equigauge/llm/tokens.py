@@ -22,10 +22,14 @@ from itertools import chain
 import numpy as np
 
 DOUBLE_SPACE = re.compile(r"\s\s")
+# white space in a row, or a mark after white space or another mark
+MARKS_IN_A_ROW = re.compile(r"\s\s|[\W_](?:[^\w\s]|_)")
+# lower case of these letters does not depend on their neighbours, and none of them composes
+PLAIN_LATIN = re.compile(r"[^\x00-\u012f\u0131-\u024f]")
 CUT = re.compile(r"(?<=\S)(?=[ ]\S)")
 CONTROL_SPACE = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizers
 MARKS = string.punctuation
-GENERATION = 1 << 19
+GENERATION = 1 << 18
 
 
 def byte_chars() -> dict[int, str]:
@@ -38,6 +42,14 @@ def byte_chars() -> dict[int, str]:
 BYTE_CHARS = byte_chars()
 
 
+def marks_apart(text: str, cut: str) -> str:
+    """With a cut before each comma or full stop that ends a word; none of them may stand next to another mark."""
+    for mark in ",.":
+        for end in " \n":
+            text = text.replace(mark + end, cut + mark + end)
+    return text[:-1] + cut + text[-1] if text[-1:] in (",", ".") else text
+
+
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, with a bounded memory of pieces.
 
@@ -56,6 +68,7 @@ class PieceEncoder:
         self.spaced = spaced
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -66,66 +79,66 @@ class PieceEncoder:
 
     def pieces(self, text: str) -> list[str]:
         """The text cut where no pre-token can cross."""
-        if not self.spaced:
-            return [text] if CONTROL_SPACE.search(text) or self.special(text) else text.split()
-        if self.special(text):
+        if "\0" in text or self.special(text):
             return [text]
+        if not self.spaced:
+            if CONTROL_SPACE.search(text):
+                return [text]
+            if PLAIN_LATIN.search(text):
+                return text.split()
+            text = text.lower()
+            return (text if MARKS_IN_A_ROW.search(text) else marks_apart(text, " ")).split()
         if DOUBLE_SPACE.search(text):
             return CUT.split(text)
-        lines = text.split("\n")
-        out = lines[0].replace(" ", "\0 ").split("\0") if "\0" not in text else CUT.split(text)
-        if "\0" in text:
-            return out
-        for line in lines[1:]:
-            out.append("\n")
-            out += line.replace(" ", "\0 ").split("\0")
-        return out
+        if not MARKS_IN_A_ROW.search(text):
+            text = marks_apart(text, "\0")
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
     def learn(self, missing: set[str]) -> None:
         """Ids of pieces not in the young generation."""
         if len(self.young) + len(missing) > GENERATION:
             self.old, self.young = self.young, {}
-        self.young[""] = b""
         young, old = self.young, self.old
+        missing.discard("")
+        young[""] = b""
         for piece in missing:
-            if not piece:
-                continue
-            if (known := old.get(piece)) is None:
-                stem = piece.rstrip(MARKS)
-                if stem == piece or not stem:
-                    known = self.word(piece)
-                elif not self.letters(stem):
-                    known = self.whole(piece)
-                else:  # marks after letters are a pre-token of their own
-                    for part in (stem, tail := piece[len(stem) :]):
-                        if part not in young:
-                            young[part] = old.get(part) or self.word(part)
-                    known = young[stem] + young[tail]
-            young[piece] = known
-
-    def normal(self, piece: str) -> str:
+            young[piece] = known if (known := old.get(piece)) is not None else self.word(piece) or self.marked(piece)
+
+    def word(self, piece: str) -> bytes | None:
+        """Ids of a piece of letters only, perhaps after a space: it is one pre-token. None for others."""
         if self.spaced:
-            return piece
-        return piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
-
-    def letters(self, piece: str) -> bool:
-        """Is it letters only, perhaps after a space? Then it is one pre-token."""
-        word = self.normal(piece)
-        return (word[1:] if self.spaced and word[:1] == " " else word).isalpha()
-
-    def word(self, piece: str) -> bytes:
-        if not self.letters(piece):
-            return self.whole(piece)
-        chars = self.normal(piece).encode().decode("latin-1").translate(BYTE_CHARS)
+            word = piece[1:] if piece[0] == " " else piece
+        elif PLAIN_LATIN.search(piece):
+            word = piece = self.tokenizer.normalizer.normalize_str(piece)
+        else:
+            word = piece = piece.lower()
+        if not word.isalpha():
+            return None
+        if piece.isascii():
+            chars = piece if word is piece else BYTE_CHARS[32] + word
+        else:
+            chars = piece.encode().decode("latin-1").translate(BYTE_CHARS)
         ids = [t.id for t in self.tokenize(chars)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def marked(self, piece: str) -> bytes:
+        """Ids of any other piece; marks after letters are a pre-token of their own."""
+        stem = piece.rstrip(MARKS)
+        if stem and stem != piece and (ids := self.word(stem)) is not None:
+            tail = piece[len(stem) :]
+            if tail not in self.tails:
+                if len(self.tails) >= GENERATION // 8:
+                    self.tails.clear()
+                self.tails[tail] = self.whole(tail)
+            return ids + self.tails[tail]
+        return self.whole(piece)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
         needed = set(chain.from_iterable(cut))
         missing = needed.difference(self.young)
         if len(self.young) + len(missing) > GENERATION:  # a generation ends: this batch is looked up anew
-            missing = needed
+            missing = set(needed)
         self.learn(missing)
         known = self.young
         return [b"".join(map(known.__getitem__, c)) for c in cut]
