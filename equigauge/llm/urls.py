@@ -9,9 +9,10 @@ otherwise it becomes a wildcard (``{n}`` for numbers, ``{x}`` for the rest). The
 sibling branches that are statistically alike, a test of two shares of blocked
 urls, are merged into their parent. The labels are the urls that rules decide. A
 template is rejected if the smoothed share of blocked urls among its labelled
-ones is high enough; a template without labels of its own asks its parents, up to
-the level of the registered domain and then all urls, which is where the
-smoothing starts.
+ones is high enough. Smoothing starts from a fixed share, goes over the domain
+(the last two labels of the host) and the host down the template, and evidence
+from above counts half at each level: a branch without labels is rejected for
+its parent's only where they speak clearly, and an unknown host is allowed.
 
 Everything is grouping and joining; a host with a third of all urls is summed
 before the shuffle like any other, and only keys and counts are joined.
@@ -34,6 +35,8 @@ DEPTH = 4
 COMMON_SHARE = 0.05
 LEAST_COUNT = 5
 PRIOR_WEIGHT = 5.0
+PRIOR_SHARE = 0.3
+FROM_ABOVE = 0.5
 BLOCK_SHARE = 0.5
 ALIKE_Z = 1.96
 
@@ -155,16 +158,13 @@ def judge(pages: DataFrame, rules: list[Rule], block_share: float = BLOCK_SHARE,
     )
     tree = generalise(distinct)
     nodes = materialize(merged_nodes(node_counts(tree)), "url-nodes")
-    # the smoothed share goes down from all urls over the domain to the host, then along the template
-    everything = nodes.where("node = ''").agg(F.coalesce(F.sum("n_labelled"), F.lit(0)).alias("l"), F.coalesce(F.sum("n_blocked"), F.lit(0)).alias("b"))
-    total = everything.first()
-    top = (total["b"] + 0.5) / (total["l"] + 1.0)
     domains = nodes.where("node = ''").groupBy(domain_of().alias("domain")).agg(F.sum("n_labelled").alias("l_domain"), F.sum("n_blocked").alias("b_domain"))
 
-    def smoothed(blocked: Column, labelled: Column, prior: Column) -> Column:
+    def smoothed(blocked: Column, labelled: Column, above: Column) -> Column:
+        prior = PRIOR_SHARE + FROM_ABOVE * (above - PRIOR_SHARE)
         return (blocked + prior_weight * prior) / (labelled + prior_weight)
 
-    purity_domain = smoothed(F.col("b_domain"), F.col("l_domain"), F.lit(top))
+    purity_domain = smoothed(F.col("b_domain"), F.col("l_domain"), F.lit(PRIOR_SHARE))
     # purity depends on the template only, and templates are few next to urls
     chains = tree.select("host", "template", "templates").distinct()
     chains = chains.select("host", "template", F.posexplode("templates").alias("level", "node")).join(nodes, ["host", "node"])

@@ -70,14 +70,18 @@ def slow(rows):
         domain = ".".join(host.split(".")[-2:])
         domain_l[domain] += labelled[host, ""]
         domain_b[domain] += blocked[host, ""]
-    top = (sum(domain_b.values()) + 0.5) / (sum(domain_l.values()) + 1)
+
+    def smoothed(b, n, above):
+        prior = urls.PRIOR_SHARE + urls.FROM_ABOVE * (above - urls.PRIOR_SHARE)
+        return (b + urls.PRIOR_WEIGHT * prior) / (n + urls.PRIOR_WEIGHT)
+
     out = []
     for page, host, path, rule, _, nodes in seen:
         domain = ".".join(host.split(".")[-2:])
-        p = (domain_b[domain] + urls.PRIOR_WEIGHT * top) / (domain_l[domain] + urls.PRIOR_WEIGHT)
+        p = smoothed(domain_b[domain], domain_l[domain], urls.PRIOR_SHARE)
         for node in nodes:
             n, b = merged.get((host, node), (labelled[host, node], blocked[host, node]))
-            p = (b + urls.PRIOR_WEIGHT * p) / (n + urls.PRIOR_WEIGHT)
+            p = smoothed(b, n, p)
         verdict = rule.verdict if rule else "block" if p >= urls.BLOCK_SHARE else "allow"
         out.append((page, host, path, rule.name if rule else None, nodes[-1], round(p, 9), verdict))
     return out
@@ -102,3 +106,12 @@ def test_judging_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], "page_id bigint, url string"), URL_RULES).count() == 0
+
+
+def test_unknown_hosts_are_allowed_and_clear_branches_rejected(spark):
+    rows = [(i, f"http://h.net/fr/{i}") for i in range(50)] + [(100, "http://h.net/fr"), (101, "http://new.org/a/1"), (102, "http://h.net/other/page")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r.page_id: r for r in urls.judge(pages, URL_RULES).collect()}
+    assert got[0].verdict == "block" and got[0].rule == "net/fr/"
+    assert (got[100].verdict, got[100].rule) == ("block", None)
+    assert got[101].verdict == "allow"
