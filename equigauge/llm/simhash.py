@@ -43,7 +43,7 @@ from equigauge.llm.common import arrow_schema, text_bytes
 from equigauge.llm.components import smallest_labels
 from equigauge.session import materialize
 
-FINGERPRINTS = "doc_id bigint, fp bigint"
+FINGERPRINTS = "doc_id bigint, text_hash bigint, fp bigint"
 LINKS = "a bigint, b bigint"
 PIVOTS = 32
 CROWD = 4096
@@ -80,15 +80,16 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """One row per document: doc_id, fp (the 64 bits as a signed number)."""
+    """One row per document: doc_id, text_hash (tells rows without a doc_id apart), fp (the 64 bits as a signed number)."""
     schema = arrow_schema(FINGERPRINTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.int64())], schema=schema)
+            columns = [batch["doc_id"], batch["text_hash"], pa.array(found, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_bytes()).alias("text_hash"), text_bytes().alias("text"))
     return source.mapInArrow(run, FINGERPRINTS)
 
 
@@ -201,25 +202,32 @@ def links(distinct: DataFrame, max_bits: int = 3, crowd: int = CROWD, blocks: in
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, crowd: int = CROWD) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest doc_id reachable, itself included)."""
+    """One row per document: doc_id, text_hash, fp, component_id (smallest doc_id reachable, itself included), label.
+
+    ``label``, the smallest fingerprint of the component, names it also where all doc_ids are null.
+    """
     found = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     labels = smallest_labels(links(distinct.select("fp"), max_bits, crowd))
     # every fingerprint with the label of its component, or its own
     labelled = distinct.join(labels.withColumnRenamed("key", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_fp = materialize(labelled.join(smallest, "label").select("fp", "component_id"), "components")
+    of_fp = materialize(labelled.join(smallest, "label").select("fp", "component_id", "label"), "components")
     # a group of copies is one hot key of the left side, which adaptive execution splits
-    return found.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return found.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "component_id", "label")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """Rows of ``docs`` that stay: of each component the one with the smallest doc_id."""
+    """Rows of ``docs`` that stay: of each component the one with the smallest doc_id (null if it has no other)."""
     columns = docs.columns
-    found = materialize(near_duplicates(docs, shingle, max_bits), "near-duplicates")
-    keep = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    counts = found.where(keep).groupBy("component_id", "doc_id").count()
-    kept = counts.select("doc_id").distinct()
-    out = docs.join(kept.withColumnRenamed("doc_id", "kept_doc_id"), F.col("doc_id").eqNullSafe(F.col("kept_doc_id")), "left_semi")
-    repeated = counts.where("count > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id"]).select(*columns) if repeated else out
+    found = near_duplicates(docs, shingle, max_bits)
+    # struct order: a doc_id before none, then the smallest, then the smallest hash of the text
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    kept = found.groupBy("label").agg(F.min(row).alias("row"), F.count("*").alias("n"))
+    kept = materialize(kept.select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash"), "n"), "kept-rows")
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64(text_bytes()) == F.col("kept_hash"))
+    out = docs.join(kept, same, "left_semi")
+    # a row that is there several times is more rows than components
+    if out.select("doc_id").count() > kept.count():
+        out = out.dropDuplicates(["doc_id", "text"])
+    return out.select(*columns)
