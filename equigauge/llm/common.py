@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import site
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +18,24 @@ from pyspark.sql import types as T
 BATCH_ROWS = 1000
 
 
+SHIPPED = "equigauge.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is neither installed nor on their path."""
+    root = Path(__file__).resolve().parents[2]
+    there = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd(), *site.getsitepackages()]
+    if any(p and Path(p).resolve() == root for p in there):
+        return
+    if any(f.endswith(SHIPPED) for f in spark.sparkContext.listFiles):
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{Path(SHIPPED).stem}", "zip", root, root.joinpath("equigauge").name)
+    spark.sparkContext.addPyFile(archive)
+
+
 def prepare_session(spark: SparkSession) -> None:
     """Small Arrow batches: a batch of long texts must fit a Python worker."""
+    ship_package(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
