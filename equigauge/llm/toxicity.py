@@ -4,8 +4,10 @@ The lexicon holds a few hand-written terms and what the labels teach: words and
 word stems (written with a star at the end) that stand in toxic documents and
 hardly in others. A word of the text hits a term if the Levenshtein automaton of
 the word's letters, run against the trie of all terms, ends at a term within the
-edits that its length allows. The product of trie and automaton is made into a
-deterministic one state by state, as words need it.
+edits that its length allows, the first letter like any other. The product of trie
+and automaton is made into a deterministic one state by state, as words need it.
+Words joined by marks without a space ("id!ot") that hit nothing on their own are
+also looked up together, the marks as letters.
 
 Every hit gets a weight from the window of words around it: less between
 quotation marks, after verbs of reporting or after a negation, more next to a
@@ -50,6 +52,8 @@ SECOND_PERSON = set("you your yours youre yourself u ur".split())
 QUOTES = "\"“”«»„‟"
 WINDOW = 6
 WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)*")
+#: Words with nothing but marks between them; quotation marks divide.
+RUN = re.compile(rf"{WORD.pattern}(?:(?:[^\w\s{QUOTES}]|_)++{WORD.pattern})*")
 LEET = str.maketrans("0134578", "oieastb")
 SCORES = "doc_id bigint, score double, n_hits int, n_misspelled int"
 
@@ -69,13 +73,15 @@ class LexiconAutomaton:
     """Trie of terms crossed with Levenshtein automata, determinised as needed.
 
     A state is the set of (trie node, edits so far) that the letters read may have
-    reached, with the fewest edits per node. The first letter must be right. A
-    stem accepts whatever follows it and takes no edits.
+    reached, with the fewest edits per node. With ``fixed_first`` the first letter
+    must be right. A stem accepts whatever follows it and takes no edits.
     """
 
     LIMIT = 200_000
+    PAIRS = 2_000_000  # in all states together
 
-    def __init__(self, terms: Iterable[str]):
+    def __init__(self, terms: Iterable[str], fixed_first: bool = True):
+        self.fixed_first = fixed_first
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.stem: list[bool] = [False]
@@ -100,6 +106,8 @@ class LexiconAutomaton:
                 self.stem[node] = True
             else:
                 self.term[node] = word
+        if not fixed_first:
+            self.reach[0] = max(self.reach)
         self.letters = {c for kids in self.children for c in kids}
         self.reset()
 
@@ -108,6 +116,9 @@ class LexiconAutomaton:
         self.ids: dict[tuple, int] = {(): 0}
         self.steps: list[dict[str, int]] = [{}]
         self.first: dict[str, int] = {}
+        self.pairs = 0
+        if not self.fixed_first:
+            self.begin = self.state(self.closed({0: 0}), None)
 
     def state(self, reached: dict[int, int], stem: tuple | None) -> int:
         key = (stem, tuple(sorted(reached.items()))) if reached or stem else ()
@@ -115,6 +126,7 @@ class LexiconAutomaton:
             self.ids[key] = len(self.states)
             self.states.append(key)
             self.steps.append({})
+            self.pairs += len(reached)
         return self.ids[key]
 
     def closed(self, reached: dict[int, int]) -> dict[int, int]:
@@ -155,13 +167,17 @@ class LexiconAutomaton:
         """The nearest term and its edits; of equally near ones the first in order."""
         if not word:
             return None
-        if len(self.states) > self.LIMIT:
+        if len(self.states) > self.LIMIT or self.pairs > self.PAIRS:
             self.reset()
-        at = self.first.get(word[0])
-        if at is None:
-            at = self.first[word[0]] = self.start(word[0])
+        if self.fixed_first:
+            at = self.first.get(word[0])
+            if at is None:
+                at = self.first[word[0]] = self.start(word[0])
+            word = word[1:]
+        else:
+            at = self.begin
         steps, letters = self.steps, self.letters
-        for c in word[1:]:
+        for c in word:
             if not at:
                 return None
             c = c if c in letters else ""
@@ -205,7 +221,9 @@ class Scanner:
     """Finds hits; remembers words for a while."""
 
     def __init__(self, terms: list[str], harmless: Iterable[str] = (), limit: int = 1 << 18):
-        self.automaton = LexiconAutomaton(terms)
+        self.automaton = LexiconAutomaton(terms, fixed_first=False)
+        self.most_edits = max(self.automaton.reach)
+        self.longest = max(map(len, terms), default=0) + self.most_edits
         self.harmless = set(harmless)
         self.known: dict[str, tuple[str, int] | None] = {}
         self.limit = limit
@@ -222,22 +240,56 @@ class Scanner:
     def hits(self, words: list[str]) -> dict[str, tuple[str, int]]:
         return {w: found for w in set(words) if (found := self.hit(w))}
 
+    def joined(self, run: str) -> list[tuple[int, str, tuple[str, int]]]:
+        """Hits of neighbouring words of a run together: number of the first word, text, hit. Words with a hit of their own stay apart."""
+        pieces = list(WORD.finditer(run))
+        free = [not self.hit(m[0]) for m in pieces]
+        out, at = [], 0
+        while at < len(pieces):
+            best, marks = None, 0
+            for to in range(at + 1, len(pieces)):
+                marks += sum(c not in self.automaton.letters for c in run[pieces[to - 1].end() : pieces[to].start()])
+                text = run[pieces[at].start() : pieces[to].end()]
+                if not (free[at] and free[to]) or marks > self.most_edits or len(text) > self.longest:
+                    break
+                found = self.hit(text)
+                if found and (best is None or found[1] < best[2][1]):
+                    best = to, text, found
+            if best:
+                out.append((at, *best[1:]))
+                at = best[0]
+            at += 1
+        return out
+
+    def find(self, lowered: str) -> tuple[list[str], dict[int, tuple[str, tuple[str, int]]]]:
+        """The words of a text; by number of the (first) word, what hits and the hit."""
+        words, joined = [], {}
+        for run in RUN.findall(lowered):
+            if run.isalnum():
+                words.append(run)
+                continue
+            pieces = WORD.findall(run)
+            if len(pieces) > 1:
+                joined |= {len(words) + at: (text, found) for at, text, found in self.joined(run)}
+            words += pieces
+        hits = self.hits(words)
+        found = {at: (w, hits[w]) for at, w in enumerate(words) if w in hits} if hits else {}
+        return words, found | joined
+
     def features(self, text: str) -> tuple[list[float], int, int]:
         """Abuse sum, quotation sum, misspelled hits, density, variety (logarithms but for density); hits."""
         lowered = text.lower()
-        words = WORD.findall(lowered)
-        found = self.hits(words)
+        words, found = self.find(lowered)
         if not found:
             return [0.0] * 5, 0, 0
         abuse = quotation = 0.0
         n = misspelled = 0
         quoted = quoted_words(lowered) if any(q in lowered for q in QUOTES) else ()
-        for at, word in enumerate(words):
-            if word not in found:
-                continue
+        for at in sorted(found):
             n += 1
-            misspelled += found[word][1] > 0
-            strength = 1.0 / (1 + found[word][1])
+            edits = found[at][1][1]
+            misspelled += edits > 0
+            strength = 1.0 / (1 + edits)
             window = words[max(0, at - WINDOW) : at + WINDOW + 1]
             before = words[max(0, at - WINDOW) : at]
             near = any(w in SECOND_PERSON for w in window)
@@ -245,7 +297,7 @@ class Scanner:
             share = min(1.0, distance) * (0.5 if near else 1.0)
             quotation += strength * share
             abuse += strength * (1 - share) * (1.5 if near else 1.0)
-        variety = len({t for t, _ in found.values()})
+        variety = len({t for _, (t, _) in found.values()})
         features = [math.log1p(abuse), math.log1p(quotation), math.log1p(misspelled), min(1.0, 20 * n / len(words)), math.log1p(variety)]
         return features, n, misspelled
 
@@ -300,11 +352,11 @@ def count_keys(rows: DataFrame, wanted: set[str] | None, scanner_terms: list[str
         for batch in batches:
             counts: Counter[str] = Counter()
             for raw in batch["text"].to_pylist():
-                words = set(WORD.findall(raw.decode("utf-8", "replace").lower()))
+                lowered = raw.decode("utf-8", "replace").lower()
                 if scanner:
-                    counts.update(w for w, (_, e) in scanner.hits(list(words)).items() if e)
+                    counts.update({w for w, (_, e) in scanner.find(lowered)[1].values() if e})
                 else:
-                    keys = keys_of(words)
+                    keys = keys_of(set(WORD.findall(lowered)))
                     counts.update(keys if wanted is None else keys & wanted)
             yield pa.RecordBatch.from_pydict({"key": list(counts), "n": list(counts.values())}, schema=schema)
 

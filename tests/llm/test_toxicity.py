@@ -127,3 +127,59 @@ def test_without_labels_and_empty_table(spark):
     scores = {r.doc_id: r.score for r in tox.score(one, model).collect()}
     assert scores[1] >= 0.5 > scores[2]
     assert tox.score(docs.limit(0), model).count() == 0 == tox.keep_clean(docs.limit(0), model).count()
+
+
+def near_terms(word):
+    """Plain edit distance over the whole word."""
+    if not word:
+        return None
+    for t in [t for t in TERMS if t == word] + [t for t in TERMS if t.endswith("*") and word.startswith(t[:-1])]:
+        return t, 0
+    near = [(edits(word, t), t) for t in TERMS if not t.endswith("*") and edits(word, t) <= tox.edits_allowed(t)]
+    return (min(near)[1], min(near)[0]) if near else None
+
+
+FREE = tox.LexiconAutomaton(TERMS, fixed_first=False)
+
+
+@given(st.sampled_from(TERMS), st.lists(st.tuples(st.integers(0, 9), st.sampled_from("abdiotscumwé_!@")), max_size=3))
+@settings(max_examples=400, deadline=None)
+def test_free_first_letter_equals_plain_edit_distance(term, changes):
+    word = list(term.rstrip("*"))
+    for at, letter in changes:
+        at = min(at, len(word))
+        if letter == "_":
+            del word[at : at + 1]
+        elif letter in "abd":
+            word.insert(at, letter)
+        elif at < len(word):
+            word[at] = letter
+    word = "".join(word)
+    assert FREE.lookup(word) == near_terms(word)
+
+
+def test_a_reset_for_size_changes_nothing():
+    small = tox.LexiconAutomaton(TERMS, fixed_first=False)
+    small.PAIRS = 3
+    for word in ["diot", "xidiot", "xorthless", "scum", "morning", "atheticc", "x", "bcdefgh", "cdefgh"]:
+        assert small.lookup(word) == FREE.lookup(word) == near_terms(word)
+
+
+def test_scanner_finds_wrong_first_letters_and_marks():
+    scanner = tox.Scanner(tox.SEED_TERMS)
+    for text in ["xdiot", "diot", "xworthless", "id!ot", "st@pid", "@sshole", "id_ot", "worth-l!ss", "(id!ot)", "fine/id!ot,fine", "w0rthl@ss"]:
+        assert scanner.features(f"such {text} here")[1:] == (1, 1), text
+    assert scanner.features("an idiot-like, stupid/moron a.b.c")[1:] == (3, 0)
+    assert scanner.features('id"iot st pid id ! ot id://ot')[1:] == (0, 0)
+    words, found = scanner.find("one two-three id!ot four")
+    assert words == ["one", "two", "three", "id", "ot", "four"] == tox.WORD.findall("one two-three id!ot four")
+    assert found == {3: ("id!ot", ("idiot", 1))}
+    assert scanner.features("a!" * 50_000 + "b" * 100_000)[1] == 0
+
+
+def test_documents_with_misspelled_terms_only_do_not_pass(spark):
+    docs, labels, _ = made_tables(spark)
+    model = tox.fit(docs, labels)
+    odd = spark.createDataFrame([(1, "you werfulous xwerfulous"), (2, "you zwer!ulous zwerful@us"), (3, "plain1 plain2")], "doc_id bigint, text string")
+    scores = {r.doc_id: r.score for r in tox.score(odd, model).collect()}
+    assert min(scores[1], scores[2]) >= 0.5 > scores[3]
