@@ -364,7 +364,11 @@ def count_keys(rows: DataFrame, wanted: set[str] | None, scanner_terms: list[str
 
 
 def learn_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """Entries that mark toxic documents, the strongest first, at most MAX_TERMS."""
+    """Entries that mark toxic documents, the strongest first.
+
+    At most MAX_TERMS of them have no shorter stem among the others. Words that a
+    chosen stem covers stand beside it and take edits, which the stem does not.
+    """
     toxic = count_keys(rows.where("label = 1"), None).where(F.col("n") >= LEAST_DOCS)
     common = {r.key: r.n for r in toxic.orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES).toLocalIterator()}
     clean = {r.key: r.n for r in count_keys(rows.where("label = 0"), set(common)).toLocalIterator()}
@@ -384,10 +388,13 @@ def learn_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
         if t >= 20 * c and odds > 2 and surprise > least and of_stem.get(key, 0) < 0.9 * t:
             scored.append((-t * odds, key))
     chosen: dict[str, None] = {}
+    uncovered = 0
     for _, key in sorted(scored):
-        if not any(key[:k] + "*" in chosen for k in (4, 5, 6) if key[:k] + "*" != key):
+        covered = any(key[:k] + "*" in chosen for k in (4, 5, 6) if key[:k] + "*" != key)
+        if not covered or not key.endswith("*"):
             chosen[key] = None
-        if len(chosen) == MAX_TERMS:
+        uncovered += not covered
+        if uncovered == MAX_TERMS:
             break
     return list(chosen)
 

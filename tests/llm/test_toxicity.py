@@ -183,3 +183,12 @@ def test_documents_with_misspelled_terms_only_do_not_pass(spark):
     odd = spark.createDataFrame([(1, "you werfulous xwerfulous"), (2, "you zwer!ulous zwerful@us"), (3, "plain1 plain2")], "doc_id bigint, text string")
     scores = {r.doc_id: r.score for r in tox.score(odd, model).collect()}
     assert min(scores[1], scores[2]) >= 0.5 > scores[3]
+
+
+def test_words_that_a_stem_covers_keep_their_edits(spark):
+    docs, labels, _ = made_tables(spark)
+    model = tox.fit(docs, labels)
+    assert {"grobnak", "grobnik"} <= set(model.terms) and any(t.endswith("*") and "grobnak".startswith(t[:-1]) for t in model.terms)
+    scanner = tox.Scanner(model.terms, model.harmless)
+    assert scanner.hit("gobnak") == scanner.hit("grabnak") == ("grobnak", 1) and scanner.hit("gobnik") == ("grobnik", 1)
+    assert scanner.hit("grobnak") == ("grobnak", 0) and scanner.hit("grobnok")[1] == 0
