@@ -128,7 +128,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_url_filter")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, depth=None)
 
 
 @query("op10_toxicity")

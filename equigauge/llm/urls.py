@@ -19,7 +19,9 @@ before the shuffle like any other, and only keys and counts are joined.
 
 Defined results: null urls and urls without ``://`` have empty host and path, fit
 no rule, and are judged as the host "". Rows with the same page_id are judged
-each on its own. Levels below ``DEPTH`` belong to their ancestor.
+each on its own. Given a depth, levels below it belong to their ancestor; without
+one the tree has every level that two distinct paths of a host reach together, and
+a path that is alone below its node is finished at once from level ``DEPTH`` on.
 """
 
 from __future__ import annotations
@@ -72,10 +74,10 @@ def rule_of(rules: list[Rule], host: str = "host", path: str = "path") -> Column
     return out
 
 
-def parts(path: str = "path", depth: int = DEPTH) -> Column:
-    """The first segments of a path that are not empty, numbers as {n}."""
+def parts(path: str = "path", depth: int | None = DEPTH) -> Column:
+    """The (first) segments of a path that are not empty, numbers as {n}."""
     found = F.filter(F.split(F.col(path), "/"), lambda s: s != "")
-    return F.transform(F.slice(found, 1, depth), lambda s: F.coalesce(shape(s), s))
+    return F.transform(found if depth is None else F.slice(found, 1, depth), lambda s: F.coalesce(shape(s), s))
 
 
 def shape(segment: Column) -> Column:
@@ -83,14 +85,36 @@ def shape(segment: Column) -> Column:
     return F.when(segment.rlike(r"^[0-9]+(\.[A-Za-z0-9]{1,5})?$|^[0-9a-fA-F-]{16,}$"), F.lit("{n}"))
 
 
-def generalise(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
+def finished_alone(urls: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """Paths that share their node with no other, with their templates to the end; the other paths."""
+    alone = urls.groupBy("host", "template").agg(F.count("*").alias("n_urls"), F.min("url_parts").alias("url_parts"))
+    alone = alone.where("n_urls = 1").select("host", "url_parts", F.lit(True).alias("alone"))
+    out = materialize(urls.join(alone, ["host", "url_parts"], "left"), "url-alone")
+    rest = F.slice("url_parts", F.lit(level + 1), F.size("url_parts") - level)
+    own = F.transform(rest, lambda s: F.when((s == "{n}") | (F.col("n") >= LEAST_COUNT), s).otherwise(F.lit("{x}")))
+    nodes = F.aggregate(own, F.col("templates"), lambda t, s: F.array_append(t, F.concat(F.element_at(t, -1), F.lit("/"), s)))
+    ended = out.where("alone").withColumn("templates", nodes).withColumn("template", F.element_at("templates", -1))
+    return ended.drop("alone"), out.where("alone IS NULL").drop("alone")
+
+
+def generalise(urls: DataFrame, depth: int | None = DEPTH) -> DataFrame:
     """Adds template, and templates: the nodes of the tree from the root down to it.
 
     One grouping of children per level: a child is common or becomes a wildcard.
-    ``urls`` holds distinct host and path parts with their counts.
+    ``urls`` holds distinct host and path parts with their counts. Without a depth
+    the levels end when no path has another segment.
     """
     out = urls.withColumn("template", F.lit("")).withColumn("templates", F.array(F.lit("")))
-    for level in range(depth):
+    ended, level = [], 0
+    while level != depth:
+        if depth is None:
+            ended.append(out.where(F.size("url_parts") <= level))
+            out = out.where(F.size("url_parts") > level)
+            if level >= DEPTH and not out.isEmpty():
+                alone, out = finished_alone(out, level)
+                ended.append(alone)
+            if out.isEmpty():
+                break
         out = out.withColumn("segment", F.get("url_parts", F.lit(level)))
         there = out.where(F.col("segment").isNotNull())
         children = there.groupBy("host", "template", "segment").agg(F.sum("n").alias("n_child"))
@@ -104,6 +128,9 @@ def generalise(urls: DataFrame, depth: int = DEPTH) -> DataFrame:
         out = out.withColumn("template", F.when(own.isNotNull(), F.concat("template", F.lit("/"), own)).otherwise(F.col("template")))
         out = out.withColumn("templates", F.when(own.isNotNull(), F.array_append("templates", F.col("template"))).otherwise(F.col("templates")))
         out = materialize(out.drop("segment", "stays"), "url-level")
+        level += 1
+    for done in ended:
+        out = out.unionByName(done)
     return out
 
 
@@ -146,17 +173,19 @@ def domain_of(host: str = "host") -> Column:
     return F.substring_index(F.col(host), ".", -2)
 
 
-def judge(pages: DataFrame, rules: list[Rule], block_share: float = BLOCK_SHARE, prior_weight: float = PRIOR_WEIGHT) -> DataFrame:
-    """page_id, host, path, rule, template, purity, verdict of every url."""
+def judge(
+    pages: DataFrame, rules: list[Rule], block_share: float = BLOCK_SHARE, prior_weight: float = PRIOR_WEIGHT, depth: int | None = DEPTH
+) -> DataFrame:
+    """page_id, host, path, rule, template, purity, verdict of every url; whole paths make the templates if depth is None."""
     verdict = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.verdict)])
     parsed = pages.select("page_id", host_of("url").alias("host"), path_of("url").alias("path"))
-    parsed = parsed.withColumn("rule", rule_of(rules)).withColumn("url_parts", parts())
+    parsed = parsed.withColumn("rule", rule_of(rules)).withColumn("url_parts", parts(depth=depth))
     parsed = materialize(parsed.withColumn("by_rule", verdict[F.col("rule")]), "urls")
     blocked = F.coalesce(F.col("by_rule") == "block", F.lit(False)).cast("long")
     distinct = parsed.groupBy("host", "url_parts").agg(
         F.count("*").alias("n"), F.count("by_rule").alias("n_labelled"), F.sum(blocked).alias("n_blocked")
     )
-    tree = generalise(distinct)
+    tree = generalise(materialize(distinct, "url-paths"), depth)
     nodes = materialize(merged_nodes(node_counts(tree)), "url-nodes")
     domains = nodes.where("node = ''").groupBy(domain_of().alias("domain")).agg(F.sum("n_labelled").alias("l_domain"), F.sum("n_blocked").alias("b_domain"))
 

@@ -115,3 +115,31 @@ def test_unknown_hosts_are_allowed_and_clear_branches_rejected(spark):
     assert got[0].verdict == "block" and got[0].rule == "net/fr/"
     assert (got[100].verdict, got[100].rule) == ("block", None)
     assert got[101].verdict == "allow"
+
+
+def test_whole_paths_equal_brute_force(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(900, None), (901, "http://x.com/" + "s/" * 30), (902, "http://x.com/" + "s/" * 9 + "7/t"), (903, "http://lone.net/es/" + "r/3/" * 12)]
+    for k in range(6):
+        rows.append((910 + k, "http://lone.com/a/b/c/d/e/f/7/g"))
+    for i in range(700):
+        head = rnd.choice(["/en/a/b/c", "/fr/a/b/c", "/a/b/c/d", "/de/a/b/c"])
+        tail = "".join("/" + rnd.choice(["bad", "good", str(i), f"s{i}"]) for _ in range(rnd.randint(0, 5)))
+        rows.append((i, f"http://{rnd.choice(['a.net', 'b.example.com', 'x.org'])}{head}{tail}"))
+    pages = spark.createDataFrame([(u, p) for p, u in rows], "url string, page_id bigint").repartition(4)
+    got = [(r.page_id, r.host, r.path, r.rule, r.template, round(r.purity, 9), r.verdict) for r in urls.judge(pages, URL_RULES, depth=None).collect()]
+    monkeypatch.setattr(urls, "DEPTH", 100)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, got)) == sorted(map(key, slow(rows)))
+
+
+def test_a_rule_below_the_fourth_segment_leaves_its_siblings(spark):
+    rules = [urls.Rule("block", "h.org", "/a/b/c/d/bad/"), urls.Rule("allow", "h.org", "/a/b/c/d/good/0/")]
+    rows = [(i, f"http://h.org/a/b/c/d/bad/{i}") for i in range(90)] + [(100 + i, f"http://h.org/a/b/c/d/good/0/{i}") for i in range(30)]
+    rows += [(200 + i, f"http://h.org/a/b/c/d/good/{i + 7}") for i in range(30)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r.page_id: r for r in urls.judge(pages, rules, depth=None).collect()}
+    assert {got[200 + i].verdict for i in range(30)} == {"allow"} and got[200].template == "/a/b/c/d/good/{n}"
+    cut = {r.page_id: r for r in urls.judge(pages, rules).collect()}
+    assert {cut[200 + i].verdict for i in range(30)} == {"block"}
+    assert urls.judge(pages.limit(0), rules, depth=None).count() == 0
