@@ -20,6 +20,10 @@ another). Defined results: a row with a null identifier is unanswered or orphan;
 a null or malformed text of arguments is an error and has no canonical form; a
 null content is JSON null. A parent that is no call counts as none. Equal rows
 are one row. Empty tables give no rows.
+
+Of a conversation only user and assistant turns are calls and results.
+``all_turns`` adds every other turn, one row each, with a status of its own:
+``system``, ``tool``, ``no_role`` (null) or ``other_role``.
 """
 
 from __future__ import annotations
@@ -194,3 +198,32 @@ def conversation_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     results = messages.where("role = 'assistant'").select(ident(turn - 1).alias("call_id"), turn.alias("place"), F.col("text").alias("content"))
     return calls, results
+
+
+def other_turns(messages: DataFrame) -> DataFrame:
+    """Turns that ``conversation_calls`` leaves out, in the columns of ``link``: one row each, the text in the record."""
+    role, turn = F.col("role").cast("string"), F.col("turn").cast("bigint")
+    status = F.when(role.isin("system", "tool"), role).when(role.isNull(), "no_role").otherwise("other_role")
+    rows = messages.where("role IS NULL OR role NOT IN ('user', 'assistant')").select(
+        F.concat(F.col("conv_id").cast("string"), F.lit(":"), turn.cast("string")).alias("call_id"),
+        turn.alias("place"),
+        status.alias("status"),
+        role.alias("role"),
+        F.col("text").cast("string").alias("content"),
+    )
+    fields = "call_id string, place bigint, status string, record string"
+    schema = arrow_schema(fields)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            records = [canonical({"content": r["content"], "id": r["call_id"], "role": r["role"], "turn": r["place"]}) for r in batch.to_pylist()]
+            columns = [batch[c] for c in ("call_id", "place", "status")] + [pa.array(records, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return rows.mapInArrow(write, fields)
+
+
+def all_turns(messages: DataFrame) -> DataFrame:
+    """Linked records of a conversation's calls and results, and every other turn."""
+    linked = link(*conversation_calls(messages), REPLY_SCHEMA)
+    return linked.unionByName(other_turns(messages), allowMissingColumns=True)

@@ -70,3 +70,25 @@ def test_conversations_and_empty_tables(spark):
     assert out["2:-1", "orphan"].record == '{"id":"2:-1","result":"lone"}'
     assert (None, "unanswered") in out
     assert chat.link(*chat.conversation_calls(messages.limit(0)), chat.REPLY_SCHEMA).count() == 0
+
+
+def test_every_turn_appears_once(spark):
+    rows = [
+        (1, 0, "system", "s\n"), (1, 1, "user", "u"), (1, 2, "assistant", "a"), (1, 3, "tool", None), (1, 4, "User", "case"), (1, 5, None, "n"),
+        (1, 6, "function", "f"), (1, 6, "function", "f"), (None, None, "system", "x"), (2, 0, "assistant", "lone"), (2, 3, "user", "late"),
+    ]
+    messages = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    out = chat.all_turns(messages).collect()
+    others = sorted((r.status, r.record) for r in out if r.status not in ("linked", "unanswered", "orphan", "duplicate"))
+    assert [s for s, _ in others] == ["no_role", "other_role", "other_role", "other_role", "system", "system", "tool"]
+    assert ("system", '{"content":"s\\n","id":"1:0","role":"system","turn":0}') in others
+    assert ("tool", '{"content":null,"id":"1:3","role":"tool","turn":3}') in others
+    assert ("system", '{"content":"x","id":null,"role":"system","turn":null}') in others
+    assert len(others) + sum((r.place is not None) + (r.result_place is not None) for r in out if r.status in ("linked", "unanswered", "orphan")) == len(rows)
+    assert chat.all_turns(messages.limit(0)).count() == 0
+
+
+def test_turns_of_the_given_table_are_all_there(spark):
+    messages = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").distinct()
+    out = chat.all_turns(messages).selectExpr("cast(place is not null as int) + cast(result_place is not null as int) as n").groupBy().sum("n").first()[0]
+    assert messages.where("role NOT IN ('user', 'assistant')").count() > 0 and out == messages.count()
