@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equigauge.llm import chat, decontam, licenses, packing, quality, sharding, simhash, spelling, token_files, toxicity, urls
+from equigauge.llm import blob_ledger, chat, decontam, licenses, packing, quality, sharding, simhash, spelling, token_files, toxicity, urls
 from equigauge.llm.common import prepare_session, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
 
+@query("op12_secret_scan")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blob_ledger.digest(blob_ledger.find_secrets(table(spark, sf_dir, "documents")))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
