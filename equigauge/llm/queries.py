@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equigauge.llm import blob_ledger, chat, decontam, licenses, packing, quality, sharding, simhash, spelling, token_files, toxicity, urls
+from equigauge.llm import align, blob_ledger, chat, decontam, licenses, packing, quality, sharding, simhash, spelling, token_files, toxicity, urls
 from equigauge.llm.common import prepare_session, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,12 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.digest(blob_ledger.find_secrets(table(spark, sf_dir, "documents")))
 
 
+@query("op13_cross_tokenizer")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.cross_tokenizer(table(spark, sf_dir, "documents"), a, b)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
