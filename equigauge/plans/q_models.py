@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from equigauge.functions.scalar import round_half_up
-from equigauge.operators import attribution, encode, models
+from equigauge.operators import attribution, boosted, encode, models
 from equigauge.plans import applicants as ap
 from equigauge.plans.q_tables import _stored_split
 from equigauge.plans.registry import query, r4, scored_sql, split_sql
@@ -62,6 +62,63 @@ def l5(spark, sf):
     return models.score(test, model, FEATURES).select(ROLES.key, ROLES.label, "score")
 
 
+BOOSTED = {"n_estimators": 6, "max_depth": 3, "learning_rate": 0.3, "scale_pos_weight": 2.0, "gamma": 0.1, "min_child_weight": 3, "colsample_bytree": 0.8}
+RAW_FEATURES = ["age", "hours_per_week"]
+
+
+@query("l5_boosted_scores")
+def l5_boosted(spark, sf):
+    """Second-order trees on records with missing hours; scores of the test records."""
+    _, _, train, test = _prepared(spark, sf)
+    return boosted.fit(train, FEATURES, BOOSTED).score(test).select(ROLES.key, ROLES.label, "score")
+
+
+@query("l5_boosted_nodes")
+def l5_nodes(spark, sf):
+    _, _, train, _ = _prepared(spark, sf)
+    return boosted.fit(train, FEATURES, BOOSTED).nodes(spark)
+
+
+def _gain(g: str, h: str) -> str:
+    return f"({g}) * ({g}) / (({h}) + 1e0)"
+
+
+@query(
+    "l5_boosted_root_splits",
+    scored_sql(
+        f"""select feature, threshold, default_left,
+  {r4(f"{_gain('gl', 'hl')} + {_gain('g - gl', 'h - hl')} - {_gain('g', 'h')}")} as gain,
+  {r4("-gl / (hl + 1e0)")} as left_value, {r4("-(g - gl) / (h - hl + 1e0)")} as right_value
+from (
+  select c.feature, c.threshold, d.default_left, any_value(t.g) as g, any_value(t.h) as h,
+    sum(case when x < threshold or (x is null and default_left) then lr.g else 0e0 end) as gl,
+    sum(case when x < threshold or (x is null and default_left) then lr.h else 0e0 end) as hl
+  from cuts c cross join (select true as default_left union all select false) d
+    join long lr on lr.feature = c.feature cross join (select sum(g) as g, sum(h) as h from gh) t
+  group by all)""",
+        """
+gh as (select cast(age as double) as age, cast(hours_per_week as double) as hours_per_week,
+    person_weight * (case when high_income = 1 then 2e0 else 1e0 end) * (5e-1 - high_income) as g,
+    person_weight * (case when high_income = 1 then 2e0 else 1e0 end) * 25e-2 as h from a),
+long as (select 'age' as feature, age as x, g, h from gh union all select 'hours_per_week', hours_per_week, g, h from gh),
+cuts as (select distinct feature, x as threshold from long v
+         where x > (select min(x) from long w where w.feature = v.feature))""",
+    ),
+)
+def l5_roots(spark, sf):
+    """Gain and leaf values of every possible first split, both ways for missing hours."""
+    found = boosted.root_splits(ap.scored_applicants(spark, sf), RAW_FEATURES, {"scale_pos_weight": 2.0, "max_bin": 512})
+    return found.withColumns({c: round_half_up(c) for c in ("gain", "left_value", "right_value")})
+
+
+@query("l6_halving_trials")
+def l6_halving(spark, sf):
+    _, _, train, _ = _prepared(spark, sf)
+    space = {**boosted.SPACE, "n_estimators": ("int", 2, 4), "max_depth": ("int", 2, 3)}
+    trials = boosted.halving_search(train, FEATURES, space, trials=4, keep=2, rungs=2, folds=2).trials
+    return trials.select("trial", "mean_auc", "n_trees", "best", F.to_json("params").alias("params"))
+
+
 @query("l6_search_trials")
 def l6(spark, sf):
     _, _, train, _ = _prepared(spark, sf)
@@ -82,6 +139,13 @@ def l8(spark, sf):
     return models.importance_table(model, FEATURES, spark)
 
 
+@query("l8_boosted_importance")
+def l8_boosted(spark, sf):
+    """Splits and mean gain of every feature."""
+    _, _, train, _ = _prepared(spark, sf)
+    return boosted.fit(train, FEATURES, BOOSTED).importance(spark)
+
+
 @query("l9_score_raw_records")
 def l9(spark, sf):
     tagged, prep, train, _ = _prepared(spark, sf)
