@@ -1,10 +1,12 @@
 """Tool-call linking: calls and their results, in order, checked and in canonical JSON.
 
 Calls and results meet in a hash join on the call's identifier. An identifier
-belongs to one call, the smallest by (place, arguments), and to one result, the
-smallest by (place, content); both minima are combined before the shuffle, so a
-hot identifier costs no task more than others, and the join is one to one. Rows
-that lose are kept and say so.
+belongs to one call, the first by place, and to one result, the first by place; a
+hash of the row decides among equal places. Only identifiers, places and hashes
+are compared for that, and the minima are combined before the shuffle, so a hot
+identifier costs no task more than others, and the join is one to one. Rows that
+lose are few as a rule, are told by their keys, are kept and say so. Texts are
+shuffled twice: to melt equal rows, and to meet.
 
 A call may wait for another one (``parent_id``). The topological position is the
 number of calls that must be done before, found by pointer doubling: each round
@@ -109,40 +111,55 @@ def positions(calls: DataFrame) -> DataFrame:
     return state.select("call_id", F.when(F.col("at").isNull(), F.col("depth")).alias("depth"))
 
 
+def melted(rows: DataFrame, count: str, name: str) -> DataFrame:
+    """Equal rows as one with their number, and a hash of the row; written once."""
+    own = rows.columns[1:]
+    keyed = rows.withColumn("hash", F.md5(F.to_json(F.struct(*own), {"ignoreNullFields": "false"})))
+    found = keyed.groupBy("call_id", "hash").agg(*[F.first(c).alias(c) for c in own], F.count(F.lit(1)).alias(count))
+    return materialize(found, name)
+
+
+def owners(rows: DataFrame, place: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that their identifiers belong to, and the others. Only keys are compared."""
+    keys = rows.where("call_id IS NOT NULL").select("call_id", place, "hash")
+    first = keys.groupBy("call_id").agg(F.min(F.struct(place, "hash")).alias("owner"))
+    lost = keys.join(first, "call_id").where(F.col("hash") != F.col("owner.hash")).select("call_id", "hash")
+    lost = materialize(lost, "lost-keys")
+    owned = rows.where("call_id IS NOT NULL").join(lost, ["call_id", "hash"], "left_anti").drop("hash")
+    others = rows.join(lost, ["call_id", "hash"], "left_semi").unionByName(rows.where("call_id IS NULL"))
+    return owned, others.drop("hash")
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """Linked records.
 
     ``calls``: call_id, place, name, arguments (JSON text), parent_id.
     ``results``: call_id, place, content.
-    Returns call_id, place, result_place, name, parent_id, depth, status, errors, record.
+    Returns call_id, place, result_place, name, parent_id, depth, status, call_rows, result_rows, errors, record.
     """
-    calls = materialize(calls.select("call_id", "place", "name", "arguments", "parent_id").distinct(), "calls")
-    results = materialize(results.select("call_id", F.col("place").alias("result_place"), "content").distinct(), "results")
-    mine, theirs = F.struct("place", "name", "arguments", "parent_id"), F.struct("result_place", "content")
-    call_owner = calls.where("call_id IS NOT NULL").groupBy("call_id").agg(F.min(mine).alias("owner"))
-    result_owner = results.where("call_id IS NOT NULL").groupBy("call_id").agg(F.min(theirs).alias("result_owner"))
-    owned = materialize(call_owner.select("call_id", "owner.*"), "owned-calls")
-    both = owned.join(result_owner.select("call_id", "result_owner.*", F.lit(True).alias("answered")), "call_id", "full_outer")
-    status = F.when(F.col("place").isNull(), "orphan").when(F.col("answered"), "linked").otherwise("unanswered")
-    linked = both.join(positions(owned), "call_id", "left").select(
-        "call_id", "place", "result_place", "name", "parent_id", "depth", status.alias("status"), "arguments", "content"
+    calls = melted(calls.select("call_id", "place", "name", "arguments", "parent_id"), "call_rows", "calls")
+    results = melted(results.select("call_id", F.col("place").alias("result_place"), "content"), "result_rows", "results")
+    owned_calls, lost_calls = owners(calls, "place")
+    owned_results, lost_results = owners(results, "result_place")
+    order = positions(owned_calls.select("call_id", "parent_id"))
+    both = owned_calls.withColumn("is_call", F.lit(True)).join(owned_results, "call_id", "full_outer")
+    status = F.when(F.col("is_call").isNull(), "orphan").when(F.col("result_rows").isNotNull(), "linked").otherwise("unanswered")
+    linked = both.join(order, "call_id", "left").withColumn("status", status)
+    lost_calls = lost_calls.withColumns(
+        {"status": F.when(F.col("call_id").isNull(), "unanswered").otherwise("duplicate"), "is_call": F.lit(True)}
     )
-    # what did not get its identifier; null identifiers never join
-    lost_calls = calls.join(call_owner, "call_id", "left").where(F.col("owner").isNull() | ~mine.eqNullSafe(F.col("owner")))
-    lost_results = results.join(result_owner, "call_id", "left").where(F.col("result_owner").isNull() | ~theirs.eqNullSafe(F.col("result_owner")))
-    lost_calls = lost_calls.withColumn("status", F.when(F.col("call_id").isNull(), "unanswered").otherwise("duplicate"))
     lost_results = lost_results.withColumn("status", F.when(F.col("call_id").isNull(), "orphan").otherwise("duplicate"))
-    rows = linked.unionByName(lost_calls.drop("owner"), allowMissingColumns=True)
-    rows = rows.unionByName(lost_results.drop("result_owner"), allowMissingColumns=True)
-    fields = "call_id string, place bigint, result_place bigint, name string, parent_id string, depth bigint, status string, errors string, record string"
+    rows = linked.unionByName(lost_calls, allowMissingColumns=True).unionByName(lost_results, allowMissingColumns=True)
+    fields = "call_id string, place bigint, result_place bigint, name string, parent_id string, depth bigint, status string, "
+    fields += "call_rows bigint, result_rows bigint, errors string, record string"
     schema = arrow_schema(fields)
-    carried = ["call_id", "place", "result_place", "name", "parent_id", "depth", "status"]
+    carried = ["call_id", "place", "result_place", "name", "parent_id", "depth", "status", "call_rows", "result_rows"]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             errors, records = [], []
             for row in batch.to_pylist():
-                if row["place"] is None:
+                if not row["is_call"]:
                     errors.append(None)
                     records.append(canonical({"id": row["call_id"], "result": row["content"]}))
                     continue
@@ -158,7 +175,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
             columns = [batch[c] for c in carried] + [pa.array(errors, pa.string()), pa.array(records, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    typed = rows.select(*[F.col(c).cast(f.dataType) for c, f in zip(carried, _types(fields), strict=False)], "arguments", "content")
+    typed = rows.select(*[F.col(c).cast(f.dataType) for c, f in zip(carried, _types(fields), strict=False)], "arguments", "content", "is_call")
     return typed.mapInArrow(check, fields)
 
 

@@ -57,29 +57,35 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op3_chat_tool_calls",
     """
-    with calls as (select conv_id, turn, text, turn - 2 * row_number() over (partition by conv_id order by turn) as island
-                   from conversations where role = 'user'),
+    with calls as (select conv_id, turn, text, count(*) as call_rows, turn - 2 * row_number() over (partition by conv_id order by turn) as island
+                   from conversations where role = 'user' group by conv_id, turn, text),
     ranked as (select *, row_number() over (partition by conv_id, island order by turn) - 1 as depth from calls),
-    answers as (select conv_id, turn, text from conversations where role = 'assistant'),
+    answers as (select conv_id, turn, text, count(*) as result_rows from conversations where role = 'assistant' group by conv_id, turn, text),
     linked as (select coalesce(c.conv_id, a.conv_id) as conv_id, c.turn as place, a.turn as result_place, c.depth, c.text, a.text as answer,
-                 coalesce(c.turn, a.turn - 1) as id_turn
+                 coalesce(c.turn, a.turn - 1) as id_turn, call_rows, result_rows
                from ranked c full join answers a on c.conv_id = a.conv_id and a.turn = c.turn + 1)
     select conv_id || ':' || id_turn as call_id, cast(place as bigint) as place, cast(result_place as bigint) as result_place,
       case when place is not null then 'reply' end as name,
       case when place >= 2 then conv_id || ':' || (place - 2) end as parent_id,
       depth,
       case when place is null then 'orphan' when result_place is null then 'unanswered' else 'linked' end as status,
+      call_rows, result_rows,
       case when place is not null and length(text) < 1 then 'arguments.prompt: shorter than 1'
            when place is not null and length(text) > 1000 then 'arguments.prompt: longer than 1000' end as errors,
       case when place is null then '{"id":"' || conv_id || ':' || id_turn || '","result":' || cast(to_json(answer) as varchar) || '}'
            else '{"arguments":{"prompt":' || cast(to_json(text) as varchar) || ',"turn":' || place || '},"id":"' || conv_id || ':' || id_turn
                 || '","name":"reply","result":' || coalesce(cast(to_json(answer) as varchar), 'null') || '}' end as record
     from linked
+    union all
+    select conv_id || ':' || turn, cast(turn as bigint), null, null, null, null,
+      case when role in ('system', 'tool') then role when role is null then 'no_role' else 'other_role' end, null, null, null,
+      '{"content":' || coalesce(cast(to_json(text) as varchar), 'null') || ',"id":"' || conv_id || ':' || turn
+        || '","role":' || coalesce(cast(to_json(role) as varchar), 'null') || ',"turn":' || turn || '}'
+    from conversations where role is null or role not in ('user', 'assistant')
     """,
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = chat.conversation_calls(table(spark, sf_dir, "conversations"))
-    return chat.link(calls, results, chat.REPLY_SCHEMA)
+    return chat.all_turns(table(spark, sf_dir, "conversations"))
 
 
 @query("op4_simhash_near_dedup")

@@ -45,6 +45,7 @@ def test_statuses_errors_and_canonical_form(spark):
     assert (got["c4", 4, None].errors, got["c4", 4, None].depth) == ("name: unknown tool", 0)
     assert got["c1", 9, None].status == "duplicate" and got["c1", None, 7].status == "duplicate"
     assert got["c5", 5, None].depth == 3
+    assert got["c5", 5, None].call_rows == 2 and (first.call_rows, first.result_rows) == (1, 1)
     assert got["c5", 5, None].errors == "arguments.a: not of type integer; arguments.tags[1]: not one of the allowed values"
     assert got[None, 6, None].status == "unanswered" and got[None, None, 4].status == "orphan"
     assert got["none", None, 1].status == "orphan"
@@ -88,7 +89,25 @@ def test_every_turn_appears_once(spark):
     assert chat.all_turns(messages.limit(0)).count() == 0
 
 
+def test_turns_without_a_place_keep_their_text(spark):
+    rows = [("c", None, "user", "lost text"), ("c", None, "user", "lost text"), ("d", 1, "assistant", None), ("d", None, "assistant", "said")]
+    out = chat.all_turns(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")).collect()
+    (call,) = [r for r in out if r.call_rows]
+    assert (call.status, call.call_rows, call.errors) == ("unanswered", 2, "arguments.turn: missing")
+    assert json.loads(call.record)["arguments"] == {"prompt": "lost text"}
+    assert sorted((r.status, r.record) for r in out if r.result_rows) == [("orphan", '{"id":"d:0","result":null}'), ("orphan", '{"id":null,"result":"said"}')]
+
+
+def test_hot_identifiers_and_repeated_rows_keep_their_counts(spark):
+    rows = [(1, 1, "user", f"q{i % 50}") for i in range(500)] + [(1, 2, "assistant", "a")] * 300 + [(2, 1, "user", "x" * 100_000)]
+    out = chat.all_turns(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()
+    assert sum(r.call_rows or 0 for r in out) == 501 and sum(r.result_rows or 0 for r in out) == 300
+    assert sorted(r.status for r in out) == ["duplicate"] * 49 + ["linked", "unanswered"]
+    assert any(r.errors == "arguments.prompt: longer than 1000" and len(r.record) > 100_000 for r in out)
+
+
 def test_turns_of_the_given_table_are_all_there(spark):
-    messages = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").distinct()
-    out = chat.all_turns(messages).selectExpr("cast(place is not null as int) + cast(result_place is not null as int) as n").groupBy().sum("n").first()[0]
+    messages = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    rows = "coalesce(call_rows, 0) + coalesce(result_rows, 0) + cast(call_rows is null and result_rows is null as int) as n"
+    out = chat.all_turns(messages).selectExpr(rows).groupBy().sum("n").first()[0]
     assert messages.where("role NOT IN ('user', 'assistant')").count() > 0 and out == messages.count()
