@@ -3,8 +3,9 @@
 The trees are fitted on at most ``SAMPLE`` labelled documents, chosen by the
 smallest hash of their doc_id; everything else reads all documents. Features that
 can only speak against a text are constrained to lower its score. A fifth of the
-sample is held back to set the cut: the largest score, at most ``CUT``, that
-rejects no more than ``GOOD_LOSS`` of the documents labelled good.
+sample is held back to set the cut: between ``LEAST_CUT`` and ``CUT``, the score
+with the smallest balanced error, so that a few wrong labels cannot switch the
+trees off.
 
 Words are runs of anything but ASCII white space. Defined results: a null or
 empty text has all counts zero and fails the base rules (too few words). Without
@@ -27,8 +28,9 @@ from equigauge.llm import boosting
 from equigauge.llm.common import arrow_schema, text_bytes
 
 SAMPLE = 20_000
+LEAST_CUT = 0.05
 CUT = 0.3
-GOOD_LOSS = 0.002
+GOOD_WEIGHT = 2.0
 SYMBOLS = [b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">"]
 SPACES = [b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -130,8 +132,8 @@ class QualityModel:
         return self.trees.probability(features) if self.trees else np.ones(len(features))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, sample: int) -> DataFrame:
-    """At most ``sample`` labelled documents: doc_id, label, text as bytes."""
+def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, sample: int) -> DataFrame:
+    """Documents of at most ``sample`` labelled ids: doc_id, label, text as bytes. An id may have several."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
     best = usable.groupBy(F.col("doc_id").cast("bigint").alias("labelled_id")).agg(F.max(column).cast("int").alias("label"))
     chosen = best.orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(sample)
@@ -140,7 +142,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, sample: int
     return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select("doc_id", "label", "text")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT, good_loss: float = GOOD_LOSS) -> QualityModel:
+def chosen_cut(scores: np.ndarray, good: np.ndarray, least: float = LEAST_CUT, most: float = CUT, good_weight: float = GOOD_WEIGHT) -> float:
+    """The cut between ``least`` and ``most`` with the smallest balanced error on labelled scores.
+
+    Balanced error: the share of junk that stays, plus ``good_weight`` times the
+    share of good rows that go. Both are shares, so a few wrong labels on either
+    side move every cut's error alike. Among equals the middle one counts.
+    """
+    tried = np.unique(np.concatenate([[least, most], scores[(scores > least) & (scores < most)]]))
+    kept_junk, kept_good = np.sort(scores[~good]), np.sort(scores[good])
+    stays = 1 - np.searchsorted(kept_junk, tried) / max(1, len(kept_junk))
+    goes = np.searchsorted(kept_good, tried) / max(1, len(kept_good))
+    error = stays + good_weight * goes
+    best = tried[error <= error.min() + 1e-12]
+    return float(best[(len(best) - 1) // 2])
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> QualityModel:
     """Fit trees for ``labels.quality`` on a bounded sample."""
     names = [f"f{k}" for k in range(len(FEATURES))]
     fields = "doc_id bigint, label int, " + ", ".join(f"{n} double" for n in names)
@@ -152,7 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = C
             columns = [pa.array(c, pa.float64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.float64())] * len(names)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], *columns], schema=schema)
 
-    rows = labelled_sample(docs, labels, "quality", sample).mapInArrow(run, fields).toArrow()
+    found = labelled_texts(docs, labels, "quality", sample).mapInArrow(run, fields)
+    # one row per id, so that what comes to the driver is bounded even if an id is repeated
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("label", *names)).alias("row")).select("doc_id", "row.*").toArrow()
     y = rows["label"].to_numpy().astype(np.float64)
     if len(np.unique(y)) < 2:
         return QualityModel(None, 0.0)
@@ -164,9 +184,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = C
     if len(np.unique(y[~held])) < 2:
         return QualityModel(None, 0.0)
     trees = boosting.fit(x[~held], y[~held], SIGNS)
-    good = trees.probability(x[held])[y[held] == 1]
-    allowed = float(np.quantile(good, good_loss, method="lower")) if len(good) else cut
-    return QualityModel(trees, min(cut, allowed))
+    if len(np.unique(y[held])) < 2:
+        return QualityModel(trees, cut)
+    return QualityModel(trees, chosen_cut(trees.probability(x[held]), y[held] == 1, most=cut))
 
 
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from equigauge.llm import boosting, quality
 
@@ -116,3 +117,22 @@ def test_without_labels_the_base_rules_decide(spark):
     got = quality.score(docs, model).collect()
     assert all(r.kept == (not r.base_failed) for r in got)
     assert quality.score(docs.limit(0), model).count() == 0 == quality.keep_good(docs.limit(0), model).count()
+
+
+@pytest.mark.parametrize("wrong", [0.0, 0.01, 0.02, 0.05])
+def test_wrong_labels_do_not_switch_the_trees_off(spark, wrong):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    flip = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1000)) < int(1000 * wrong)
+    model = quality.fit(docs, labels.withColumn("quality", F.when(flip, 1 - F.col("quality")).otherwise(F.col("quality"))))
+    assert quality.LEAST_CUT <= model.cut <= quality.CUT
+    judged = quality.score(docs, model).join(labels, "doc_id").where("not base_failed")
+    kept = {r.quality: r.share for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[0] <= 0.05 and kept[1] >= 0.99
+
+
+def test_cut_weighs_both_kinds():
+    scores, good = np.array([0.01] * 98 + [0.9] * 2 + [0.99] * 97 + [0.01] * 3), np.arange(200) >= 100
+    assert quality.chosen_cut(scores, good) >= quality.LEAST_CUT
+    assert quality.chosen_cut(np.array([0.02, 0.07, 0.2, 0.9]), np.array([False, False, True, True])) <= 0.2
+    assert quality.chosen_cut(np.array([0.2, 0.2]), np.array([False, True])) <= 0.2
