@@ -18,10 +18,10 @@ The items are the stated query set: they go to the executors in blocks of at mos
 ``BLOCK_BYTES`` of text each, one pass over the documents per block, whatever the
 number of items. Documents never leave their partition.
 
-Words are runs of letters and digits of the lower-cased text. Defined results: a
-text with fewer words than a shingle has one shingle, all its words, so it
-matches only texts that consist of the same words. A text without words matches
-nothing. Null texts are empty. Rows with the same id are judged each on its own.
+Words are runs of letters and digits of the lower-cased text. Defined results: an
+item with fewer words than a shingle has one shingle, all its words, and is looked
+for among the stretches of as many words of every document. A text without words
+matches nothing. Null texts are empty. Rows with the same id are judged each on its own.
 """
 
 from __future__ import annotations
@@ -129,29 +129,38 @@ class ContainmentIndex:
             if not found:
                 continue
             index = len(self.items)
-            self.items.append((item_id, found))
+            words_each = min(size, len(words))
+            self.items.append((item_id, found, words_each))
             hashes[index] = np.unique(self.numbers.hashes(words, size))
-            parts.setdefault(len(found).bit_length(), []).append((index, len(found)))
-        self.partitions = [SizePartition(p, hashes, self.threshold) for _, p in sorted(parts.items())]
+            parts.setdefault((words_each, len(found).bit_length()), []).append((index, len(found)))
+        # by the words of a shingle: items shorter than one have shingles of their own length
+        self.partitions: dict[int, list[SizePartition]] = {}
+        for (words_each, _), p in sorted(parts.items()):
+            self.partitions.setdefault(words_each, []).append(SizePartition(p, hashes, self.threshold))
 
     def find(self, text: str) -> list[tuple[int, int, int, int, int]]:
         """(item_id, shingles, found, first word, last word) of every contained item."""
         words = words_of(text)
-        hashes = np.unique(self.numbers.hashes(words, self.size))
-        if not len(hashes):
-            return []
-        wanted = [i for p in self.partitions for i in p.candidates(hashes, len(hashes))]
-        if not wanted:
-            return []
+        found = []
+        for words_each, partitions in self.partitions.items():
+            if words_each > len(words):
+                continue
+            hashes = np.unique(self.numbers.hashes(words, words_each))
+            wanted = [i for p in partitions for i in p.candidates(hashes, len(hashes))]
+            if wanted:
+                found += self.verified(words, words_each, wanted)
+        return found
+
+    def verified(self, words: list[str], words_each: int, wanted: list[int]) -> list[tuple[int, int, int, int, int]]:
         found = []
         where: dict[tuple[str, ...], tuple[int, int]] = {}
-        for at, shingle in enumerate(shingles_of(words, self.size)):
+        for at, shingle in enumerate(shingles_of(words, words_each)):
             where[shingle] = (where.get(shingle, (at, at))[0], at)
         for i in sorted(wanted):
-            item_id, shingles = self.items[i]
+            item_id, shingles, _ = self.items[i]
             both = [where[s] for s in shingles if s in where]
             if len(both) >= self.threshold * len(shingles):
-                end = max(b for _, b in both) + min(self.size, len(words)) - 1
+                end = max(b for _, b in both) + words_each - 1
                 found.append((item_id, len(shingles), len(both), min(a for a, _ in both), end))
         return found
 

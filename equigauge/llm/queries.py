@@ -97,15 +97,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 DECONTAM_SQL = r"""
     with item_words as (select item_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+') as w from benchmark),
     item_shingles as (
-      select distinct item_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i : i + 4], ' ') end as s
+      select distinct item_id, least(len(w), 5) as k, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') as s
       from (select item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from item_words where len(w) > 0)),
-    sizes as (select item_id, count(*) as n_shingles from item_shingles group by item_id),
+    sizes as (select item_id, k, count(*) as n_shingles from item_shingles group by item_id, k),
     doc_words as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN]+') as w from documents),
     doc_shingles as (
-      select doc_id, i - 1 as pos, len(w) as n, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[i : i + 4], ' ') end as s
-      from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from doc_words where len(w) > 0)),
-    hits as (select doc_id, item_id, count(distinct d.s) as n_found, min(pos) as first_word, max(pos) + least(5, min(n)) - 1 as last_word
-             from doc_shingles d join item_shingles i on d.s = i.s group by doc_id, item_id)
+      select doc_id, i - 1 as pos, k, array_to_string(w[i : i + k - 1], ' ') as s
+      from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from doc_words, (select distinct k from sizes) where len(w) >= k)),
+    hits as (select doc_id, item_id, count(distinct d.s) as n_found, min(pos) as first_word, max(pos) + min(d.k) - 1 as last_word
+             from doc_shingles d join item_shingles i on d.s = i.s and d.k = i.k group by doc_id, item_id)
     select doc_id, item_id, n_shingles, n_found, cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word
     from hits join sizes using (item_id) where 10 * n_found >= 8 * n_shingles
 """

@@ -5,20 +5,21 @@ from equigauge.llm import decontam
 
 
 def slow(docs, items, size=5):
-    def shingles(text):
-        words = re.findall(r"[^\W_]+", (text or "").lower())
-        n = min(size, len(words))
-        return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)] if words else []
+    def words_of(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
 
     out = []
     for item, item_text in items:
-        wanted = set(shingles(item_text))
+        words = words_of(item_text)
+        n = min(size, len(words))  # a short item is one shingle of its own length
+        wanted = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
         for doc, text in docs:
-            found = shingles(text)
+            own = words_of(text)
+            found = [tuple(own[i : i + n]) for i in range(len(own) - n + 1)]
             both = wanted & set(found)
             if wanted and len(both) * 10 >= 8 * len(wanted):
                 places = [i for i, s in enumerate(found) if s in both]
-                out.append((doc, item, len(wanted), len(both), min(places), max(places) + len(found[0]) - 1))
+                out.append((doc, item, len(wanted), len(both), min(places), max(places) + n - 1))
     return out
 
 
@@ -74,3 +75,11 @@ def test_empty_tables(spark):
     assert decontam.leaks(df.limit(0), bench).count() == 0
     assert decontam.leaks(df, bench.limit(0)).count() == 0
     assert decontam.drop_contaminated(df, bench.limit(0)).count() == df.count()
+
+
+def test_short_items_inside_long_documents(spark):
+    docs = [(1, "before " * 500 + "alpha, Beta gamma" + " after" * 500), (2, "alpha beta"), (3, "alpha beta delta gamma"), (4, "x ALPHA\nbeta\ngamma")]
+    df, bench = frames(spark, docs, [(1, "alpha beta gamma"), (2, "lone")])
+    got = decontam.leaks(df, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.first_word, r.last_word) for r in got) == [(1, 1, 500, 502), (4, 1, 1, 3)]
+    assert {r.doc_id for r in decontam.drop_contaminated(df, bench).collect()} == {2, 3}
