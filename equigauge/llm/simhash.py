@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equigauge.llm.common import arrow_schema, text_bytes
+from equigauge.llm.common import arrow_schema, text_bytes, unused
 from equigauge.llm.components import smallest_labels
 from equigauge.session import materialize
 
@@ -221,13 +221,15 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """Rows of ``docs`` that stay: of each component the one with the smallest doc_id (null if it has no other)."""
     columns = docs.columns
     found = near_duplicates(docs, shingle, max_bits)
-    # struct order: a doc_id before none, then the smallest, then the smallest hash of the text
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    kept = found.groupBy("label").agg(F.min(row).alias("row"), F.count("*").alias("n"))
-    kept = materialize(kept.select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash"), "n"), "kept-rows")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64(text_bytes()) == F.col("kept_hash"))
-    out = docs.join(kept, same, "left_semi")
+    # struct order: a doc_id before none, then the smallest, then the smallest hash of the text; n: rows that are equal to it
+    rows = found.groupBy("label", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")
+    kept_id, kept_hash = unused(docs, "kept_id"), unused(docs, "kept_hash")
+    kept = rows.groupBy("label").agg(F.min(row).alias("row"))
+    kept = materialize(kept.select(F.col("row.doc_id").alias(kept_id), F.col("row.text_hash").alias(kept_hash), "row.n"), "kept-rows")
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.xxhash64(text_bytes()) == F.col(kept_hash))
+    out = docs.join(kept.select(kept_id, kept_hash), same, "left_semi")
     # a row that is there several times is more rows than components
-    if out.select("doc_id").count() > kept.count():
+    if kept.where("n > 1").head(1):
         out = out.dropDuplicates(["doc_id", "text"])
     return out.select(*columns)

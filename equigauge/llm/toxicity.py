@@ -40,7 +40,6 @@ from equigauge.session import materialize
 
 SAMPLE = 20_000
 MAX_TERMS = 3000
-MAX_CANDIDATES = 200_000
 LEAST_DOCS = 3
 SEED_TERMS = (
     "idiot idiots moron morons imbecile stupid dumbass scum scumbag trash worthless pathetic loser losers "
@@ -329,12 +328,17 @@ def keys_of(words: set[str]) -> set[str]:
 
 
 def training_table(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` labelled rows that are not held out: doc_id, label, text; equal texts once per label."""
+    """At most ``sample`` labelled rows that are not held out: doc_id, label, text; one per id, and equal texts once per label.
+
+    What is learned from them (entries, look-alikes, weights) is bounded by their number and nothing else.
+    """
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("label")).dropna()
     usable = usable.where(~held_out()).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "labelled_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select("doc_id", "label", "text")
+    rows = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("own"))
+    rows = rows.select("doc_id", "label", "own.text")
     rows = rows.groupBy("label", F.xxhash64("text").alias("h"), F.length("text").alias("size")).agg(
         F.min("doc_id").alias("doc_id"), F.first("text").alias("text")
     )
@@ -370,7 +374,7 @@ def learn_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     chosen stem covers stand beside it and take edits, which the stem does not.
     """
     toxic = count_keys(rows.where("label = 1"), None).where(F.col("n") >= LEAST_DOCS)
-    common = {r.key: r.n for r in toxic.orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES).toLocalIterator()}
+    common = {r.key: r.n for r in toxic.toLocalIterator()}
     clean = {r.key: r.n for r in count_keys(rows.where("label = 0"), set(common)).toLocalIterator()}
     # a stem that stands for one word only is left to that word
     of_stem: dict[str, int] = {}
@@ -421,8 +425,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     if not n.get(1) or not n.get(0):
         return ToxicityModel(list(SEED_TERMS))
     terms = sorted({*SEED_TERMS, *learn_terms(rows, n[1], n[0])})
-    look_alikes = count_keys(rows.where("label = 0"), None, terms).where("n >= 2").orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES)
-    toxic_alikes = {r.key: r.n for r in count_keys(rows.where("label = 1"), None, terms).orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES).toLocalIterator()}
+    look_alikes = count_keys(rows.where("label = 0"), None, terms).where("n >= 2")
+    toxic_alikes = {r.key: r.n for r in count_keys(rows.where("label = 1"), None, terms).toLocalIterator()}
     harmless = frozenset(r.key for r in look_alikes.toLocalIterator() if r.n > toxic_alikes.get(r.key, 0))
     model = ToxicityModel(terms, harmless)
     found = scan(rows, model, "label").toArrow()

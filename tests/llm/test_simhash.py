@@ -101,3 +101,11 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.keep_one(docs).count() == 0
+
+
+def test_kept_rows_with_clashing_names(spark):
+    rows = [(1, "a b c d", 0, "x", 5, 6), (2, "a b c d", 1, "y", 5, 6), (3, "quite another text here", 2, "z", 5, 6), (1, "a b c d", 0, "x", 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, kept_id int, KEPT_HASH string, label int, n int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
