@@ -3,6 +3,7 @@
 Values are put into ordered buckets of about equal size. A window sorts only
 inside one bucket; bucket totals give the offset of every later bucket. Cut
 points decide only how even the buckets are: any cut points give exact sums.
+Borders are found on two levels, so buckets stay of one size on any table.
 """
 
 from __future__ import annotations
@@ -21,53 +22,84 @@ MAX_BUCKETS = 2048
 CHUNKS = 512
 
 
-def cut_points(
-    df: DataFrame, columns: Sequence[str], buckets: int | None = None
-) -> dict[str, list[float]]:
-    """Bucket borders per column, from one pass of quantile sketches.
+def _merged_sketches(
+    rows: DataFrame, columns: Sequence[str], by: Sequence[str], fractions: int
+) -> DataFrame:
+    """Rows (i, *by, n, q): values and ``fractions`` - 1 quantiles of column number i, per ``by``.
 
     Sketches of the map tasks merge in ``CHUNKS`` reducers first, then their
-    quantiles merge once more, so no task takes the sketches of all tasks. At
-    most ``MAX_BUCKETS`` numbers per column come back to the driver. Without
-    ``buckets`` their number follows the number of rows.
+    quantiles merge once more, so no task takes the sketches of all tasks.
     """
-    columns = list(columns)
     # one literal instead of one per fraction keeps the plan small
-    text = ",".join(str(j / MAX_BUCKETS) for j in range(1, MAX_BUCKETS))
-    fractions = F.split(F.lit(text), ",").cast("array<double>")
+    text = ",".join(str(j / fractions) for j in range(1, fractions))
+    wanted = F.split(F.lit(text), ",").cast("array<double>")
 
     def sketch(c: str) -> Column:
-        return F.percentile_approx(F.col(c).cast("double"), fractions, 2 * MAX_BUCKETS)
+        return F.percentile_approx(F.col(c).cast("double"), wanted, 2 * fractions)
 
     ids = range(len(columns))
-    chunks = df.select(*columns, (F.spark_partition_id() % CHUNKS).alias("_chunk"))
-    chunks = chunks.groupBy("_chunk").agg(
+    chunks = rows.select(*columns, *by, (F.spark_partition_id() % CHUNKS).alias("_chunk"))
+    chunks = chunks.groupBy("_chunk", *by).agg(
         *[F.count(columns[i]).alias(f"n{i}") for i in ids],
         *[sketch(columns[i]).alias(f"q{i}") for i in ids],
     )
-    per_column = chunks.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n"), F.col(f"q{i}").alias("q"))
-                    for i in ids
-                ]
-            )
-        )
-    ).select("i", "n", F.posexplode("q").alias("pos", "x"))
-    merged = per_column.groupBy("i").agg(
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n"), F.col(f"q{i}").alias("q"))
+        for i in ids
+    ]
+    per_column = chunks.select(*by, F.inline(F.array(*cells))).select(
+        *by, "i", "n", F.posexplode("q").alias("pos", "x")
+    )
+    return per_column.groupBy("i", *by).agg(
         F.sum(F.when(F.col("pos") == 0, F.col("n"))).alias("n"), sketch("x").alias("q")
     )
+
+
+def _picked(quantiles: Sequence[float], wanted: int) -> list[float]:
+    """``wanted`` - 1 of evenly spaced quantiles, without repeats."""
+    have = len(quantiles) + 1
+    return sorted({quantiles[j * have // wanted - 1] for j in range(1, min(wanted, have))})
+
+
+def cut_points(
+    df: DataFrame, columns: Sequence[str], buckets: int | None = None
+) -> dict[str, list[float]]:
+    """Bucket borders per column, from quantile sketches.
+
+    Without ``buckets`` their number follows the number of rows, so that a bucket
+    stays near ``VALUES_PER_BUCKET`` rows whatever the table. One pass gives up to
+    ``MAX_BUCKETS`` of them. If a column needs more, a second pass sketches inside
+    each of these, which is enough for ``MAX_BUCKETS`` squared. What comes to the
+    driver is a number per bucket.
+    """
+    columns = list(columns)
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts: dict[str, list[float]] = {c: [] for c in columns}
-    for row in merged.collect():
+    inner: dict[str, int] = {}
+    for row in _merged_sketches(df, columns, [], MAX_BUCKETS).collect():
         wanted = buckets or max(least, row["n"] // VALUES_PER_BUCKET + 1)
-        wanted = min(MAX_BUCKETS, wanted)
-        picked = {row["q"][j * MAX_BUCKETS // wanted - 1] for j in range(1, wanted)}
-        cuts[columns[row["i"]]] = sorted(picked)
+        if row["q"]:
+            name = columns[row["i"]]
+            cuts[name] = _picked(row["q"], min(wanted, MAX_BUCKETS))
+            if wanted > MAX_BUCKETS:
+                inner[name] = min(MAX_BUCKETS, -(-wanted // MAX_BUCKETS))
+    for name, parts in inner.items():
+        cuts[name] = _refined(df.select(name), name, cuts[name], parts)
     return cuts
 
 
+def _refined(rows: DataFrame, column: str, cuts: Sequence[float], parts: int) -> list[float]:
+    """More borders, by a sketch inside each bucket; a bucket with more rows gets more of them."""
+    placed = add_bucket(rows.where(F.col(column).isNotNull()), column, cuts)
+    # twice as many quantiles as asked for, so that a heavy bucket can use more than its share
+    found = _merged_sketches(placed, [column], [BUCKET], 2 * parts).collect()
+    share = sum(r["n"] for r in found) / max(1, len(found) * parts)
+    more = set(cuts)
+    for r in found:
+        more.update(_picked(r["q"], min(2 * parts, max(1, round(r["n"] / share)))))
+    return sorted(more)
+
+
 def add_bucket(df: DataFrame, column: str, cuts: Sequence[float], out: str = BUCKET) -> DataFrame:
     """Bucket number of a numeric column; grows with the value."""
     borders = [-float("inf"), *cuts, float("inf")]
@@ -95,7 +127,7 @@ def before_in_bucket(group: Sequence[str], order: str):
 
 
 def before_bucket(group: Sequence[str]):
-    """Window over bucket totals, at most ``MAX_BUCKETS`` + 1 rows per group."""
+    """Window over bucket totals: a row per bucket and group, one for ``VALUES_PER_BUCKET`` values."""
     return (
         Window.partitionBy(*(group or [F.lit(0)]))
         .orderBy(BUCKET)
