@@ -14,6 +14,7 @@ from equigauge.roles import LIMITS, ROLES
 from equigauge.session import new_path
 from equigauge.streaming import alarms as stream_alarms
 from equigauge.streaming import drift as stream_drift
+from equigauge.streaming import drift_state
 from equigauge.streaming import labels as stream_labels
 from equigauge.streaming import windows as stream_windows
 
@@ -255,3 +256,63 @@ def t4(spark, sf):
     return spark.read.parquet(f"{path}/out/columns").drop("batch").withColumn(
         "rows", F.col("rows").cast("long")
     )
+
+
+QUARTER = 91 * 86400
+SPANS = f"""
+pq as (
+  select order_ts < timestamp '1998-01-01' as is_ref, (cast(floor(epoch_us(order_ts) / {QUARTER}e6) as bigint) + 1) * {QUARTER} as e,
+    cast(age as double) as age, order_ts, marital_status,
+    case when order_ts >= timestamp '1998-01-01' and education = '1' then '5' else education end as education from a),
+lv as (
+  select is_ref, e, unnest(['education', 'marital_status', 'age']) as feature,
+    unnest([education, marital_status, cast(age as varchar)]) as value from pq),
+closed as (
+  select distinct feature, e from lv
+  where not is_ref and e * 1000000 <= (select max(epoch_us(order_ts)) from pq) - 86400000000),
+cc as (
+  select c.feature, c.e, value, count(*) as n from closed c join lv on lv.feature = c.feature and not is_ref
+    and value is not null and lv.e <= c.e and lv.e > c.e - 4 * {QUARTER} group by all),
+rc as (select feature, value, count(*) as n from lv where is_ref and value is not null group by all),
+av as (
+  select feature, e, value, sum(r) as n_ref, sum(c) as n_cur from (
+    select feature, e, value, 0 as r, n as c from cc
+    union all select feature, e, value, n, 0 from rc join closed using (feature)) group by all),
+pv as (
+  select *, n_ref / cast(sum(n_ref) over k as double) as p, n_cur / cast(sum(n_cur) over k as double) as q,
+    sum(n_cur) over k as total_cur from av window k as (partition by feature, e)),
+wv as (
+  select feature, e, sum(abs(cp - cq) * (next_x - x)) as area from (
+    select feature, e, cast(value as double) as x, sum(p) over o as cp, sum(q) over o as cq, lead(cast(value as double)) over o as next_x
+    from pv where feature = 'age' window o as (partition by feature, e order by cast(value as double)))
+  group by all)"""
+
+
+@query(
+    "t4_drift_from_state",
+    scored_sql(
+        f"""select feature, e as window_end, cast(any_value(total_cur) as bigint) as rows, 'Jensen-Shannon distance' as stattest,
+  {r4("sqrt(sum(case when p > 0 then p * ln(p / ((p + q) / 2)) / ln(2e0) else 0e0 end) / 2 + sum(case when q > 0 then q * ln(q / ((p + q) / 2)) / ln(2e0) else 0e0 end) / 2)")} as score,
+  sqrt(sum(case when p > 0 then p * ln(p / ((p + q) / 2)) / ln(2e0) else 0e0 end) / 2
+    + sum(case when q > 0 then q * ln(q / ((p + q) / 2)) / ln(2e0) else 0e0 end) / 2) >= 1e-1 as drift_detected
+from pv where feature <> 'age' group by feature, e
+union all
+select 'age', e, cast((select any_value(total_cur) from pv where pv.e = wv.e and pv.feature = 'age') as bigint),
+  'Wasserstein distance (normed)', {r4("area / greatest((select stddev_pop(age) from pq where is_ref), 1e-3)")},
+  area / greatest((select stddev_pop(age) from pq where is_ref), 1e-3) >= 1e-1
+from wv""",
+        SPANS,
+    ),
+)
+def t4_state(spark, sf):
+    """Drift of the last four quarters at the end of each, against the stored profile of the reference."""
+    path = new_path(spark, "stream-drift-state")
+    columns = ["education", "marital_status", "age"]
+    ref, cur = _pair(spark, sf)
+    drift_state.write_profile(drift_state.reference_profile(ref, columns), f"{path}/profile")
+    stream = _stream(spark, cur.select("order_ts", *columns), "arriving")
+    spark.conf.set(stream_alarms.PROVIDER_KEY, stream_alarms.PROVIDER)
+    found = drift_state.stream_drift(stream, drift_state.read_profile(spark, f"{path}/profile"), "order_ts", QUARTER, span=4)
+    _run_to_end(found.writeStream.format("parquet").option("path", f"{path}/out"), path)
+    rows = spark.read.schema(drift_state.RESULT).parquet(f"{path}/out").drop("score_kind")
+    return rows.withColumn("window_end", F.unix_seconds("window_end"))
