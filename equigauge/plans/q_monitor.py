@@ -239,6 +239,33 @@ def t3_stream(spark, sf):
     return spark.read.schema("person_id long, score double, outcome int").parquet(f"{path}/out")
 
 
+# the stream is over when its input is; what the last watermark has not passed stays in state
+SETTLED = """
+oc as (select l_orderkey as person_id, min(l_shipdate) as outcome_ts from lineitem join a on l_orderkey = person_id group by 1),
+wm as (select least((select max(order_ts) from a), (select max(outcome_ts) from oc)) - interval 1 day as upto),
+st as (
+  select person_id, score, order_ts, case when outcome_ts is null then null else high_income end as outcome,
+    case when outcome_ts is null then 'expired' else 'matched' end as settled
+  from a left join (select * from oc join a using (person_id) where outcome_ts >= order_ts and outcome_ts <= order_ts + interval 365 day) k
+    using (person_id, score, order_ts, high_income), wm
+  where outcome_ts is not null or order_ts + interval 365 day < upto)"""
+
+
+def _settled(spark, sf):
+    preds = _stream(spark, _predictions(spark, sf), "predictions")
+    late = _stream(spark, _outcomes(spark, sf), "outcomes")
+    return stream_labels.stream_settled(preds, late, ROLES.key, "order_ts", "outcome_ts", "interval 365 days")
+
+
+@query("t3_stream_settled", scored_sql("select person_id, outcome, settled from st", SETTLED))
+def t3_settled(spark, sf):
+    """Predictions with their outcome, and those whose horizon passed without one."""
+    path = new_path(spark, "stream-settled")
+    rows = _settled(spark, sf).select(ROLES.key, "outcome", "settled")
+    _run_to_end(rows.writeStream.format("parquet").option("path", f"{path}/out"), path)
+    return spark.read.schema("person_id long, outcome int, settled string").parquet(f"{path}/out")
+
+
 @query(
     "t4_drift_stream",
     scored_sql(
