@@ -3,25 +3,32 @@
 Rules decide for their host and all its subdomains where the path starts with the
 rule's path; the longest wins (longest host, then longest path).
 
-Other urls are judged by a tree of path templates per host. Level by level, a
-segment stays as it is if it is common among its siblings and no number;
-otherwise it becomes a wildcard (``{n}`` for numbers, ``{x}`` for the rest). Then
-sibling branches that are statistically alike, a test of two shares of blocked
-urls, are merged into their parent. The labels are the urls that rules decide. A
-template is rejected if the smoothed share of blocked urls among its labelled
+Other urls are judged by a tree of path templates per host. The labels are the
+urls that rules decide. Segments that look variable become wildcards at once:
+``{n}`` for numbers, ``{t}`` for long tokens with digits. The others are compared
+before anything is merged. For each child of a path the share of blocked urls is
+tested against that of its siblings (two shares, pooled variance): labelled
+branches that are alike are merged into one template ``{x}``, those that differ
+stay what they are. A branch without labels has no share to compare. It keeps its
+own template; if it is rare it joins the other rare ones without labels in
+``{u}``. Only where a path has more than ``MANY`` children whose labels agree are
+rare ones taken for values of one variable, labelled or not, and become ``{x}``.
+
+A template is rejected if the smoothed share of blocked urls among its labelled
 ones is high enough. Smoothing starts from a fixed share, goes over the domain
 (the last two labels of the host) and the host down the template, and evidence
-from above counts half at each level: a branch without labels is rejected for
-its parent's only where they speak clearly, and an unknown host is allowed.
+from above counts half at each level; from a node whose branches disagree
+nothing is passed down. So a branch without labels is rejected for its parent's
+only where they speak clearly and with one voice, and an unknown host is allowed.
 
+All levels of all paths are handled at once, by hashes of their beginnings, so the
+number of shuffles does not depend on the depth, and a path costs its own length.
 Everything is grouping and joining; a host with a third of all urls is summed
 before the shuffle like any other, and only keys and counts are joined.
 
 Defined results: null urls and urls without ``://`` have empty host and path, fit
 no rule, and are judged as the host "". Rows with the same page_id are judged
-each on its own. Given a depth, levels below it belong to their ancestor; without
-one the tree has every level that two distinct paths of a host reach together, and
-a path that is alone below its node is finished at once from level ``DEPTH`` on.
+each on its own. Without rules nothing is labelled and every url is allowed.
 """
 
 from __future__ import annotations
@@ -33,7 +40,7 @@ from pyspark.sql import functions as F
 
 from equigauge.session import materialize
 
-DEPTH = 4
+MANY = 50
 COMMON_SHARE = 0.05
 LEAST_COUNT = 5
 PRIOR_WEIGHT = 5.0
@@ -74,98 +81,80 @@ def rule_of(rules: list[Rule], host: str = "host", path: str = "path") -> Column
     return out
 
 
-def parts(path: str = "path", depth: int | None = DEPTH) -> Column:
-    """The (first) segments of a path that are not empty, numbers as {n}."""
-    found = F.filter(F.split(F.col(path), "/"), lambda s: s != "")
-    return F.transform(found if depth is None else F.slice(found, 1, depth), lambda s: F.coalesce(shape(s), s))
+def parts(path: str = "path") -> Column:
+    """The segments of a path that are not empty, variable ones as wildcards."""
+    return F.transform(F.filter(F.split(F.col(path), "/"), lambda s: s != ""), lambda s: F.coalesce(shape(s), s))
 
 
 def shape(segment: Column) -> Column:
-    """{n} for numbers, also with a short extension; null for what may stay as it is."""
-    return F.when(segment.rlike(r"^[0-9]+(\.[A-Za-z0-9]{1,5})?$|^[0-9a-fA-F-]{16,}$"), F.lit("{n}"))
+    """{n} for numbers, also with a short extension; {t} for long tokens with digits; null for what may stay as it is."""
+    number = segment.rlike(r"^[0-9]+(\.[A-Za-z0-9]{1,5})?$|^[0-9a-fA-F-]{16,}$")
+    token = segment.rlike(r"^(?=(?:[^0-9]*[0-9]){4})[A-Za-z0-9_=-]{20,}$")
+    return F.when(number, F.lit("{n}")).when(token, F.lit("{t}"))
 
 
-def finished_alone(urls: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """Paths that share their node with no other, with their templates to the end; the other paths."""
-    alone = urls.groupBy("host", "template").agg(F.count("*").alias("n_urls"), F.min("url_parts").alias("url_parts"))
-    alone = alone.where("n_urls = 1").select("host", "url_parts", F.lit(True).alias("alone"))
-    out = materialize(urls.join(alone, ["host", "url_parts"], "left"), "url-alone")
-    rest = F.slice("url_parts", F.lit(level + 1), F.size("url_parts") - level)
-    own = F.transform(rest, lambda s: F.when((s == "{n}") | (F.col("n") >= LEAST_COUNT), s).otherwise(F.lit("{x}")))
-    nodes = F.aggregate(own, F.col("templates"), lambda t, s: F.array_append(t, F.concat(F.element_at(t, -1), F.lit("/"), s)))
-    ended = out.where("alone").withColumn("templates", nodes).withColumn("template", F.element_at("templates", -1))
-    return ended.drop("alone"), out.where("alone IS NULL").drop("alone")
+def chain(segments: str, host: str = "host") -> Column:
+    """A hash of every beginning of the segments, from none to all of them, within the host."""
+    first = F.array(F.xxhash64(F.col(host)))
+    return F.aggregate(F.col(segments), first, lambda ids, s: F.array_append(ids, F.xxhash64(F.element_at(ids, -1), s)))
 
 
-def generalise(urls: DataFrame, depth: int | None = DEPTH) -> DataFrame:
-    """Adds template, and templates: the nodes of the tree from the root down to it.
-
-    One grouping of children per level: a child is common or becomes a wildcard.
-    ``urls`` holds distinct host and path parts with their counts. Without a depth
-    the levels end when no path has another segment.
-    """
-    out = urls.withColumn("template", F.lit("")).withColumn("templates", F.array(F.lit("")))
-    ended, level = [], 0
-    while level != depth:
-        if depth is None:
-            ended.append(out.where(F.size("url_parts") <= level))
-            out = out.where(F.size("url_parts") > level)
-            if level >= DEPTH and not out.isEmpty():
-                alone, out = finished_alone(out, level)
-                ended.append(alone)
-            if out.isEmpty():
-                break
-        out = out.withColumn("segment", F.get("url_parts", F.lit(level)))
-        there = out.where(F.col("segment").isNotNull())
-        children = there.groupBy("host", "template", "segment").agg(F.sum("n").alias("n_child"))
-        parents = children.groupBy("host", "template").agg(F.sum("n_child").alias("n_parent"))
-        common = children.join(parents, ["host", "template"]).where(
-            (F.col("n_child") >= LEAST_COUNT) & (F.col("n_child") >= COMMON_SHARE * F.col("n_parent")) | (F.col("segment") == "{n}")
-        )
-        common = common.select("host", "template", "segment", F.lit(True).alias("stays"))
-        out = out.join(common, ["host", "template", "segment"], "left")
-        own = F.when(F.col("stays"), F.col("segment")).when(F.col("segment").isNotNull(), F.lit("{x}"))
-        out = out.withColumn("template", F.when(own.isNotNull(), F.concat("template", F.lit("/"), own)).otherwise(F.col("template")))
-        out = out.withColumn("templates", F.when(own.isNotNull(), F.array_append("templates", F.col("template"))).otherwise(F.col("templates")))
-        out = materialize(out.drop("segment", "stays"), "url-level")
-        level += 1
-    for done in ended:
-        out = out.unionByName(done)
-    return out
-
-
-def node_counts(urls: DataFrame) -> DataFrame:
-    """Labels of every node of every host's tree: host, node, n_labelled, n_blocked."""
-    each = urls.select("host", F.explode("templates").alias("node"), "n_labelled", "n_blocked")
-    return each.groupBy("host", "node").agg(F.sum("n_labelled").alias("n_labelled"), F.sum("n_blocked").alias("n_blocked"))
+def unlike(labelled: str, blocked: str, all_labelled: str, all_blocked: str, z: float = ALIKE_Z) -> Column:
+    """Whether the share of blocked urls differs from that of all siblings together; null if one side has no labels."""
+    rest_l, rest_b = F.col(all_labelled) - F.col(labelled), F.col(all_blocked) - F.col(blocked)
+    pooled = F.col(all_blocked) / F.col(all_labelled)
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col(labelled) + 1 / rest_l))
+    gap = F.abs(F.col(blocked) / F.col(labelled) - rest_b / rest_l)
+    return F.when((F.col(labelled) > 0) & (rest_l > 0), gap > z * spread)
 
 
-def merged_nodes(nodes: DataFrame, alike_z: float = ALIKE_Z) -> DataFrame:
-    """Nodes with their labels or, where a node's share of blocked urls is like its siblings', those of the siblings together.
+def compared(children: DataFrame) -> DataFrame:
+    """Children (host, parent, ..., n_labelled, n_blocked) with ``differs``, and ``agree`` of all labelled siblings.
 
-    A node is compared with its siblings as one group (two shares, pooled
-    variance), so a node with very many children needs no pairs of them. Alike
-    nodes are merged: together they form one branch with one count.
+    A child is compared with its siblings as one group, so a node with very many
+    children needs no pairs of them.
     """
-    sibling = nodes.withColumn("parent", F.regexp_replace("node", "/[^/]*$", ""))
-    totals = sibling.where("node != ''").groupBy("host", "parent").agg(F.sum("n_labelled").alias("l_all"), F.sum("n_blocked").alias("b_all"))
-    both = sibling.join(totals, ["host", "parent"], "left")
-    rest_l, rest_b = F.col("l_all") - F.col("n_labelled"), F.col("b_all") - F.col("n_blocked")
-    pooled = F.col("b_all") / F.col("l_all")
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_labelled") + 1 / rest_l))
-    gap = F.abs(F.col("n_blocked") / F.col("n_labelled") - rest_b / rest_l)
-    known = (F.col("node") != "") & (F.col("n_labelled") > 0) & (rest_l > 0)
-    alike = F.coalesce(F.when(known, gap <= alike_z * spread), F.lit(False))
-    both = both.withColumn("alike", alike)
-    joint = both.where("alike").groupBy("host", "parent").agg(F.sum("n_labelled").alias("l_joint"), F.sum("n_blocked").alias("b_joint"))
-    out = both.join(joint, ["host", "parent"], "left")
-    return out.select(
-        "host",
-        "node",
-        "alike",
-        F.when(F.col("alike"), F.col("l_joint")).otherwise(F.col("n_labelled")).alias("n_labelled"),
-        F.when(F.col("alike"), F.col("b_joint")).otherwise(F.col("n_blocked")).alias("n_blocked"),
+    keys = ["host", "parent"]
+    totals = children.groupBy(*keys).agg(F.sum("n_labelled").alias("l_all"), F.sum("n_blocked").alias("b_all"), F.count("*").alias("n_children"))
+    each = children.join(totals, keys).withColumn("differs", F.coalesce(unlike("n_labelled", "n_blocked", "l_all", "b_all"), F.lit(False)))
+    each = materialize(each.drop("l_all", "b_all"), "url-children")
+    agreed = each.groupBy(*keys).agg((~F.bool_or("differs")).alias("agree"))
+    return each.join(agreed, keys)
+
+
+def templates(paths: DataFrame) -> DataFrame:
+    """Adds template, an array of segments and wildcards. ``paths``: host, key, url_parts, n, n_labelled, n_blocked; distinct paths."""
+    zipped = F.arrays_zip(F.col("url_parts").alias("segment"), F.slice("ids", 1, F.size("url_parts")).alias("parent"))
+    steps = paths.withColumn("ids", chain("url_parts")).select("host", "key", "n", "n_labelled", "n_blocked", F.posexplode(zipped).alias("level", "s"))
+    steps = steps.select("host", "key", "level", "s.parent", "s.segment", "n", "n_labelled", "n_blocked")
+    children = steps.groupBy("host", "parent", "segment").agg(*[F.sum(c).alias(c) for c in ("n", "n_labelled", "n_blocked")])
+    sizes = children.groupBy("host", "parent").agg(F.sum("n").alias("n_parent"))
+    judged = compared(children).join(sizes, ["host", "parent"])
+    rare = (F.col("n") < LEAST_COUNT) | (F.col("n") < COMMON_SHARE * F.col("n_parent"))
+    variable = rare & (F.col("n_children") > MANY) & F.col("agree")
+    own = (
+        F.when(F.col("segment").isin("{n}", "{t}") | F.col("differs") | (F.col("n_children") == 1), F.col("segment"))
+        .when(variable | (F.col("n_labelled") > 0), F.lit("{x}"))
+        .when(rare, F.lit("{u}"))
+        .otherwise(F.col("segment"))
     )
+    decided = judged.select("host", "parent", "segment", own.alias("own"))
+    named = steps.select("host", "key", "level", "parent", "segment").join(decided, ["host", "parent", "segment"])
+    whole = named.groupBy("host", "key").agg(F.array_sort(F.collect_list(F.struct("level", "own"))).alias("steps"))
+    out = paths.select("host", "key", "n_labelled", "n_blocked").join(whole, ["host", "key"], "left")
+    template = F.coalesce(F.transform("steps", lambda s: s["own"]), F.array().cast("array<string>"))
+    return out.withColumn("template", template).drop("steps")
+
+
+def template_nodes(tree: DataFrame) -> DataFrame:
+    """Every node of the template trees: host, parent (null for the root), node, n_labelled, n_blocked, agree (of the siblings)."""
+    ids = chain("template")
+    ends = F.arrays_zip(F.concat(F.array(F.lit(None).cast("bigint")), F.slice("ids", 1, F.size("template"))).alias("parent"), F.col("ids").alias("node"))
+    each = tree.withColumn("ids", ids).select("host", "n_labelled", "n_blocked", F.inline(ends))
+    nodes = each.groupBy("host", "parent", "node").agg(F.sum("n_labelled").alias("n_labelled"), F.sum("n_blocked").alias("n_blocked"))
+    nodes = materialize(nodes, "url-nodes")
+    below = compared(nodes.where("parent IS NOT NULL")).select("host", "parent", "node", "n_labelled", "n_blocked", "agree")
+    return below.unionByName(nodes.where("parent IS NULL").withColumn("agree", F.lit(True)))
 
 
 def domain_of(host: str = "host") -> Column:
@@ -173,21 +162,20 @@ def domain_of(host: str = "host") -> Column:
     return F.substring_index(F.col(host), ".", -2)
 
 
-def judge(
-    pages: DataFrame, rules: list[Rule], block_share: float = BLOCK_SHARE, prior_weight: float = PRIOR_WEIGHT, depth: int | None = DEPTH
-) -> DataFrame:
-    """page_id, host, path, rule, template, purity, verdict of every url; whole paths make the templates if depth is None."""
-    verdict = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.verdict)])
+def judge(pages: DataFrame, rules: list[Rule], block_share: float = BLOCK_SHARE, prior_weight: float = PRIOR_WEIGHT) -> DataFrame:
+    """page_id, host, path, rule, template, purity, verdict of every url."""
+    by_rule = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.verdict)])[F.col("rule")] if rules else F.lit(None).cast("string")
     parsed = pages.select("page_id", host_of("url").alias("host"), path_of("url").alias("path"))
-    parsed = parsed.withColumn("rule", rule_of(rules)).withColumn("url_parts", parts(depth=depth))
-    parsed = materialize(parsed.withColumn("by_rule", verdict[F.col("rule")]), "urls")
+    parsed = parsed.withColumn("rule", rule_of(rules)).withColumn("by_rule", by_rule).withColumn("url_parts", parts())
+    parsed = materialize(parsed.withColumn("key", F.element_at(chain("url_parts"), -1)), "urls")
     blocked = F.coalesce(F.col("by_rule") == "block", F.lit(False)).cast("long")
-    distinct = parsed.groupBy("host", "url_parts").agg(
+    distinct = parsed.groupBy("host", "key", "url_parts").agg(
         F.count("*").alias("n"), F.count("by_rule").alias("n_labelled"), F.sum(blocked).alias("n_blocked")
     )
-    tree = generalise(materialize(distinct, "url-paths"), depth)
-    nodes = materialize(merged_nodes(node_counts(tree)), "url-nodes")
-    domains = nodes.where("node = ''").groupBy(domain_of().alias("domain")).agg(F.sum("n_labelled").alias("l_domain"), F.sum("n_blocked").alias("b_domain"))
+    tree = templates(materialize(distinct, "url-paths")).withColumn("template_key", F.element_at(chain("template"), -1))
+    tree = materialize(tree, "url-templates")
+    nodes = materialize(template_nodes(tree), "url-nodes")
+    domains = nodes.where("parent IS NULL").groupBy(domain_of().alias("domain")).agg(F.sum("n_labelled").alias("l_domain"), F.sum("n_blocked").alias("b_domain"))
 
     def smoothed(blocked: Column, labelled: Column, above: Column) -> Column:
         prior = PRIOR_SHARE + FROM_ABOVE * (above - PRIOR_SHARE)
@@ -195,14 +183,19 @@ def judge(
 
     purity_domain = smoothed(F.col("b_domain"), F.col("l_domain"), F.lit(PRIOR_SHARE))
     # purity depends on the template only, and templates are few next to urls
-    chains = tree.select("host", "template", "templates").distinct()
-    chains = chains.select("host", "template", F.posexplode("templates").alias("level", "node")).join(nodes, ["host", "node"])
-    steps = F.array_sort(F.collect_list(F.struct("level", "n_labelled", "n_blocked")))
-    of_template = chains.groupBy("host", "template").agg(steps.alias("steps"))
+    chains = tree.groupBy("host", "template_key", "template").agg(F.count("*").alias("n_paths"))
+    chains = chains.select("host", "template_key", F.posexplode(chain("template")).alias("level", "node"))
+    chains = chains.join(nodes.select("host", "node", "n_labelled", "n_blocked", "agree"), ["host", "node"])
+    steps = F.array_sort(F.collect_list(F.struct("level", "n_labelled", "n_blocked", "agree")))
+    of_template = chains.groupBy("host", "template_key").agg(steps.alias("steps"))
     of_template = of_template.withColumn("domain", domain_of()).join(domains, "domain")
-    purity = F.aggregate("steps", purity_domain, lambda p, s: smoothed(s["n_blocked"], s["n_labelled"], p))
-    of_template = of_template.select("host", "template", purity.alias("purity"))
-    of_url = materialize(tree.select("host", "url_parts", "template").join(of_template, ["host", "template"]), "url-verdicts")
-    out = parsed.join(of_url, ["host", "url_parts"])
+
+    def down(p: Column, s: Column) -> Column:
+        return smoothed(s["n_blocked"], s["n_labelled"], F.when(s["agree"], p).otherwise(F.lit(PRIOR_SHARE)))
+
+    of_template = of_template.select("host", "template_key", F.aggregate("steps", purity_domain, down).alias("purity"))
+    written = F.concat(F.when(F.size("template") > 0, F.lit("/")).otherwise(F.lit("")), F.array_join("template", "/")).alias("template")
+    of_url = tree.select("host", "key", "template_key", written).join(of_template, ["host", "template_key"])
+    out = parsed.join(materialize(of_url, "url-verdicts"), ["host", "key"])
     own = F.when(F.col("purity") >= block_share, F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", "rule", "template", "purity", F.coalesce("by_rule", own).alias("verdict"))
