@@ -180,7 +180,10 @@ def links(distinct: DataFrame, max_bits: int = 3, crowd: int = CROWD, blocks: in
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    buckets = met.where(F.col("count") <= crowd).groupBy("choice", "bucket").agg(F.collect_list("fp").alias("members"))
+    # a stated number of partitions: few bytes are much work here, and by bytes they would meet in one task
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = met.where(F.col("count") <= crowd).repartition(tasks, "choice", "bucket")
+    buckets = small.groupBy("choice", "bucket").agg(F.collect_list("fp").alias("members"))
     found = buckets.select("members").mapInArrow(search, LINKS)
     crowded = met.where(F.col("count") > crowd)
     if crowded.head(1):
