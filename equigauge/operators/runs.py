@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from urllib.parse import quote
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from equigauge.sources.commits import FOLDER, CommitLog
+
 SCHEMAS = {
     "versions": "model string, version int, run_id string, ts timestamp",
     "tags": "run_id string, model string, version int, key string, value string",
@@ -16,21 +20,40 @@ SCHEMAS = {
     "metrics": "run_id string, model string, version int, key string, value double",
     "aliases": "model string, alias string, version int, ts timestamp",
 }
+#: what is stored per run, in a folder of the attempt that wrote it; the commits say which version that is
+STORED = {
+    "tags": "attempt string, key string, value string",
+    "params": "attempt string, key string, value string",
+    "metrics": "attempt string, key string, value double",
+}
+COMMIT = "model string, version int, run_id string, ts timestamp, attempt string"
 
 
-def read_log(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One table of the run log; empty if nothing was logged yet."""
+def _read(reader, schema: str, path: str) -> DataFrame:
     try:
-        return spark.read.schema(SCHEMAS[table]).parquet(f"{path}/{table}")
-    except AnalysisException:
-        return spark.createDataFrame([], SCHEMAS[table])
+        return reader(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e.getCondition()):
+            raise
+        return SparkSession.active().createDataFrame([], schema)
 
 
-def next_version(versions: DataFrame, model: str) -> int:
-    top = versions.where(F.col("model") == model).agg(
-        (F.coalesce(F.max("version"), F.lit(0)) + 1).alias("v")
-    )
-    return top.first()["v"]
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark.read.schema(COMMIT).json, COMMIT, f"{path}/models/*/{FOLDER}/*.json")
+
+
+def read_log(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """One table of the run log; empty if nothing was logged yet.
+
+    Rows of a run that was not committed are in no table.
+    """
+    if table == "aliases":
+        return _read(spark.read.schema(SCHEMAS[table]).parquet, SCHEMAS[table], f"{path}/{table}")
+    commits = _commits(spark, path)
+    if table == "versions":
+        return commits.select("model", "version", "run_id", "ts")
+    rows = _read(spark.read.schema(STORED[table]).parquet, STORED[table], f"{path}/{table}")
+    return rows.join(commits, "attempt").select("run_id", "model", "version", "key", "value")
 
 
 def log_run(
@@ -45,29 +68,23 @@ def log_run(
 ) -> int:
     """Append one run; ``metrics`` has (key, value). Returns the new version.
 
-    One writer per model at a time, as for any version counter kept in files.
+    Any number of writers may log at once: the rows are written first, and the
+    commit that follows takes the model's next free version. A run that failed half
+    way takes no number.
     """
-    version = next_version(read_log(spark, path, "versions"), model)
-    who = (run_id, model, version)
+    attempt = uuid4().hex
 
-    def append(df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(f"{path}/{table}")
+    def store(df: DataFrame, table: str) -> None:
+        # a folder of its own: two jobs that write to one folder share their temporary files
+        df.write.parquet(f"{path}/{table}/attempt={attempt}")
 
     for table, values in (("tags", tags), ("params", params)):
-        rows = [(*who, k, str(v)) for k, v in values.items()]
-        append(spark.createDataFrame(rows, SCHEMAS[table]).coalesce(1), table)
-    keyed = metrics.select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(model).alias("model"),
-        F.lit(version).alias("version"),
-        F.col("key"),
-        F.col("value").cast("double").alias("value"),
-    )
-    append(keyed, "metrics")
-    # the version row comes last: a run that failed half way takes no number
-    row = [(model, version, run_id, ts)]
-    append(spark.createDataFrame(row, SCHEMAS["versions"]).coalesce(1), "versions")
-    return version
+        rows = [(k, str(v)) for k, v in values.items()]
+        store(spark.createDataFrame(rows, "key string, value string").coalesce(1), table)
+    store(metrics.select("key", F.col("value").cast("double").alias("value")), "metrics")
+    log = CommitLog(spark, f"{path}/models/m-{quote(model, safe='')}")
+    entry = {"model": model, "run_id": run_id, "ts": ts.isoformat(), "attempt": attempt}
+    return log.commit(lambda newest: {**entry, "version": newest["version"] + 1 if newest else 1})[0]
 
 
 def set_alias(

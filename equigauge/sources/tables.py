@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from equigauge.roles import ROLES, Roles
+from equigauge.sources.commits import CommitLog
+
+#: folder of rows without a date, as Spark names it
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_snapshot(
@@ -16,24 +22,49 @@ def write_snapshot(
 ) -> None:
     """Store a dated snapshot; a second run on the same day replaces the first.
 
-    With further partitions the rows are rebalanced first: even files, a large
-    partition in several of them, instead of one per task and partition.
+    Rows go to a folder of this run (column ``snapshot_run``), which the commit log
+    then names as the day's, and the folder it replaces is deleted. A run that fails
+    changes nothing for ``read_latest``, and runs at the same time do not disturb
+    each other: the later commit of a day wins. With further partitions the rows are
+    rebalanced first: even files, a large partition in several of them, instead of
+    one per task and partition.
     """
-    dated = df.withColumn("snapshot_date", F.lit(day))
-    if partitions:
-        dated = dated.hint("rebalance", *partitions)
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "snapshot_date", *partitions
-    ).parquet(path)
+    log, today = CommitLog(df.sparkSession, path), day.isoformat()
+    folder = f"snapshot_date={today}/snapshot_run={uuid.uuid4().hex}"
+    rows = df.hint("rebalance", *partitions) if partitions else df
+    rows.write.partitionBy(*partitions).parquet(f"{path}/{folder}")
+    schema = df.withColumns({"snapshot_date": F.lit(day), "snapshot_run": F.lit("")}).schema.jsonValue()
+    replaced: list[str] = []
+
+    def entry(newest: dict | None) -> dict:
+        days = newest["days"] if newest else {}
+        replaced[:] = [days[today]] if today in days else []
+        latest = today >= max(days, default=today)
+        return {"days": {**days, today: folder}, "schema": schema if latest else newest["schema"]}
+
+    log.commit(entry)
+    for old in replaced:
+        log.delete(old)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot; only its partition is scanned."""
-    table = spark.read.parquet(path)
-    newest = table.agg(F.max("snapshot_date")).first()[0]
-    if newest is None:
-        raise FileNotFoundError(f"no snapshot below {path}")
-    return table.where(F.col("snapshot_date") == F.lit(newest))
+    """The newest snapshot; only its folder is listed and opened.
+
+    The newest commit names it. A table without a log (written by other means) is
+    listed by its ``snapshot_date`` folders; no data file is opened to find the day.
+    """
+    log = CommitLog(spark, path)
+    newest, reader = log.newest(), spark.read.option("basePath", path)
+    if newest:
+        folder = newest["days"][max(newest["days"])]
+        reader = reader.schema(T.StructType.fromJson(newest["schema"]))
+    else:
+        days = [d for d in log.partitions("snapshot_date") if d != NO_DAY]
+        if not days:
+            raise FileNotFoundError(f"no snapshot below {path}")
+        folder = f"snapshot_date={max(days)}"
+    rows = reader.parquet(f"{path}/{folder}")
+    return rows.drop("snapshot_run")
 
 
 def write_splits(

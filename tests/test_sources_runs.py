@@ -1,12 +1,15 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from equigauge.functions import codebook
 from equigauge.operators import clean, runs
 from equigauge.session import new_path
 from equigauge.sources import matrix, tables
+from equigauge.sources.commits import CommitLog
 
 TS = datetime(2024, 5, 1, 12, 0, 0)
 
@@ -75,6 +78,77 @@ def test_run_log(spark):
     assert runs.read_log(spark, path, "params").first().value == "3"
 
 
+def test_latest_snapshot_opens_only_its_files(spark):
+    path = new_path(spark, "snap-log")
+    for day, n in ((3, 4), (1, 5), (2, 6)):
+        tables.write_snapshot(spark.range(n).withColumn("g", F.col("id") % 2), path, date(2024, 1, day), ["g"])
+    latest = tables.read_latest(spark, path)
+    assert latest.count() == 4
+    assert all("snapshot_date=2024-01-03" in f for f in latest.inputFiles())
+    assert set(latest.columns) == {"id", "g", "snapshot_date"}
+    tables.write_snapshot(spark.range(0).withColumn("g", F.col("id") % 2), path, date(2024, 1, 4), ["g"])
+    assert tables.read_latest(spark, path).count() == 0
+
+
+def test_failed_snapshot_is_not_visible(spark, monkeypatch):
+    path = new_path(spark, "snap-fail")
+    tables.write_snapshot(spark.range(3), path, date(2024, 1, 1))
+
+    def lost(self, entry):
+        raise OSError("writer lost before its commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "commit", lost)
+        with pytest.raises(OSError):
+            tables.write_snapshot(spark.range(9), path, date(2024, 1, 2))
+    assert tables.read_latest(spark, path).count() == 3
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_snapshot(broken, path, date(2024, 1, 3))
+    assert tables.read_latest(spark, path).count() == 3
+
+
+def test_a_table_without_a_log_is_found_by_its_folders(spark):
+    path = new_path(spark, "snap-plain")
+    days = spark.sql("select date'2024-01-01' + cast(id % 3 as int) as snapshot_date, id from range(10)")
+    days.write.partitionBy("snapshot_date").parquet(path)
+    latest = tables.read_latest(spark, path)
+    assert sorted(r.id for r in latest.collect()) == [2, 5, 8]
+    assert latest.first().snapshot_date == date(2024, 1, 3)
+
+
+def test_a_number_is_given_once(spark):
+    log = CommitLog(spark, new_path(spark, "log-race"))
+    assert log.newest() is None
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: log.put(1, {"by": i}), range(8)))
+        assert sum(won) == 1 and log.read(1) == {"by": won.index(True)}
+        numbers = list(pool.map(lambda i: log.commit(lambda _: {"by": i})[0], range(12)))
+    assert sorted(numbers) == list(range(2, 14)) and log.last() == 13
+
+
+def test_concurrent_runs_get_versions_of_their_own(spark, monkeypatch):
+    path = new_path(spark, "log-many")
+    metrics = spark.createDataFrame([("auc", 0.5)], "key string, value double")
+    assert runs.read_log(spark, path, "versions").count() == 0
+
+    def one(i):
+        return runs.log_run(spark, path, f"r{i}", "a/b c", TS, {"i": str(i)}, {}, metrics)
+
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(one, range(4))) == [1, 2, 3, 4]
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "put", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            one(9)
+    tags = {(r.run_id, r.value, r.model) for r in runs.read_log(spark, path, "tags").collect()}
+    assert tags == {(f"r{i}", str(i), "a/b c") for i in range(4)}
+    versions = runs.read_log(spark, path, "versions").collect()
+    assert sorted(v.version for v in versions) == [1, 2, 3, 4] and versions[0].ts == TS
+    assert runs.read_log(spark, path, "params").count() == 0
+    assert one(5) == 5
+
+
 def test_metrics_append(spark):
     path = new_path(spark, "metric-test")
     df = spark.createDataFrame([("DriftShare", 0.0, "None")], "name string, value double, unit string")
