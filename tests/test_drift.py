@@ -1,3 +1,4 @@
+import decimal
 import math
 import random
 
@@ -65,6 +66,48 @@ def test_chi2_tail(spark, x, k, p):
     assert df.select(drift.chi2_tail("x", "k")).first()[0] == pytest.approx(p, rel=1e-9)
 
 
+def exact_tail(n: int, x: float) -> float:
+    """Q(n, x) for a whole n: chances of fewer than n Poisson events, in 60 digits, the likeliest first."""
+    with decimal.localcontext() as ctx:
+        ctx.prec = 60
+        x = decimal.Decimal(x)
+        down = n - 1 <= x  # sum the smaller side, away from the mean
+        k = n - 1 if down else n
+        if k < 2000:
+            log_factorial = decimal.Decimal(math.factorial(k)).ln()
+        else:
+            m = decimal.Decimal(k)
+            pi = decimal.Decimal("3.14159265358979323846264338327950288419716939937510582097494")
+            bernoulli = [(1, 12), (-1, 360), (1, 1260), (-1, 1680), (1, 1188), (-691, 360360), (1, 156)]
+            log_factorial = m * m.ln() - m + (2 * pi * m).ln() / 2
+            log_factorial += sum(decimal.Decimal(p) / q / m ** (2 * i + 1) for i, (p, q) in enumerate(bernoulli))
+        term = total = (k * x.ln() - x - log_factorial).exp()
+        while term > total * decimal.Decimal("1e-25") and (not down or k > 0):
+            term = term * k / x if down else term * x / (k + 1)
+            k += -1 if down else 1
+            total += term
+        return float(total if down else 1 - total)
+
+
+@pytest.mark.parametrize("df", [2, 4, 10, 60, 198, 200, 202, 204, 1_000, 20_002, 1_000_000, 10_000_000])
+def test_gamma_tail_agrees_with_exact_sums(df):
+    for z in (-5, -2, -0.5, -0.01, 0, 0.01, 0.7, 3, 8, 20):
+        x = df + z * math.sqrt(2 * df)
+        if x > 0:
+            want = exact_tail(df // 2, x / 2)
+            assert drift.gamma_tail(df / 2, x / 2) == pytest.approx(want, rel=1e-12, abs=1e-14)
+
+
+def test_gamma_tail_of_odd_degrees():
+    for df in (1, 3, 7, 99, 199, 201, 203, 333):
+        for x in (0.01, 1.0, df * 0.6, df, df * 1.3 + 1, df * 2.0 + 5):
+            half = x / 2
+            terms = [math.exp(a * math.log(half) - half - math.lgamma(a + 1)) for a in (i + 0.5 for i in range((df - 1) // 2))]
+            want = math.erfc(math.sqrt(half)) + math.fsum(terms)
+            assert drift.gamma_tail(df / 2, half) == pytest.approx(want, rel=1e-11, abs=1e-14)
+    assert (drift.gamma_tail(3.0, 0.0), drift.gamma_tail(3.0, math.inf), drift.gamma_tail(5000.0, 1e9)) == (1.0, 0.0, 0.0)
+
+
 def test_choice_of_test_and_overrides(spark):
     ref = spark.createDataFrame([(i % 5, i % 6, str(i % 9)) for i in range(90)], "few int, many int, code string")
     got = {r.feature: r for r in drift.column_drift(ref, ref, ["few", "many", "code"], {"code": drift.CHI_SQUARED}).collect()}
