@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from equigauge.functions.scalar import round_half_up
 from equigauge.operators.boosted import BoostedTrees
 from equigauge.roles import ROLES
-from equigauge.session import new_path
+from equigauge.session import new_path, ship_package
 
 
 def attribute_linear(
@@ -198,6 +198,7 @@ def attribute_trees(
     paths are walked there, once a task.
     """
     spark = df.sparkSession
+    ship_package(spark)
     features = list(features)
     fill = not isinstance(model, BoostedTrees)
     if not fill and tuple(features) != model.features:

@@ -36,7 +36,7 @@ from equigauge.operators.models import Tuned, draw_params
 from equigauge.operators.prefix import add_bucket, cut_points
 from equigauge.operators.split import stratified_folds
 from equigauge.roles import LIMITS, ROLES
-from equigauge.session import materialize
+from equigauge.session import materialize, ship_package
 
 DEFAULTS = {
     "n_estimators": 100,
@@ -190,6 +190,7 @@ class BoostedTrees:
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
         """Adds the probability of the positive class, in Arrow batches."""
         model = self
+        ship_package(df.sparkSession)
 
         @F.pandas_udf("double")
         def probability(frame: pd.DataFrame) -> pd.Series:

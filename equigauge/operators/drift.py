@@ -22,6 +22,7 @@ from equigauge.operators.prefix import (
     null_safe_join,
 )
 from equigauge.roles import LIMITS
+from equigauge.session import ship_package
 
 WASSERSTEIN = "Wasserstein distance (normed)"
 JENSEN_SHANNON = "Jensen-Shannon distance"
@@ -268,6 +269,7 @@ def jensen_shannon(ref: DataFrame, cur: DataFrame, column: str, base: float = 2.
 
 def chi_squared(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Statistic, degrees of freedom, p, and the number of values without expectation."""
+    ship_package(ref.sparkSession)
     found = distances(ref, cur, columns)
     return found.select(
         "feature",
@@ -301,6 +303,7 @@ def column_drift(
     """Test, score and verdict per feature."""
     chosen = choose_test(distances(ref, cur, columns), overrides)
     if CHI_SQUARED in (overrides or {}).values():
+        ship_package(ref.sparkSession)
         p_value = chi2_tail("chi_squared", F.col("chi_df").cast("double"))
     else:
         p_value = F.lit(None).cast("double")

@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import site
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+SHIPPED = "equigauge.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is neither installed nor on their path."""
+    root = Path(__file__).resolve().parents[1]
+    there = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd(), *site.getsitepackages()]
+    if any(p and Path(p).resolve() == root for p in there):
+        return
+    if any(f.endswith(SHIPPED) for f in spark.sparkContext.listFiles):
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{Path(SHIPPED).stem}", "zip", root, "equigauge")
+    spark.sparkContext.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 

@@ -1,7 +1,10 @@
+import gzip
 import json
+import random
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +34,63 @@ def test_landed_matrices(spark, tmp_path):
     assert wages == ["-1.0", "0.0", "None"]
 
 
+AWKWARD = ['a"b', "back\\", "\\\\", '\\"', "[x]", "],[", "line\nbreak", "é[ü]", "", "\u2028", '"', "plain", "[[", "tab\t"]
+
+
+def awkward_matrix(rng, rows, cell=lambda rng: rng.choice(AWKWARD)):
+    header = ["a", 'h"[', "b"]
+    return [header] + [[None if rng.random() < 0.1 else cell(rng) for _ in range(rng.choice([2, 3, 3, 4]))] for _ in range(rows)]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 20])
+def test_ranges_of_any_size_see_the_same_rows(size, tmp_path):
+    rng = random.Random(size)
+    for indent in (None, 1):
+        want = awkward_matrix(rng, 12)
+        text = json.dumps(want, indent=indent, ensure_ascii=indent is None).encode()
+        path = tmp_path / f"m{indent}.json"
+        path.write_bytes(text)
+        uri = f"file:{path}"
+        starts = range(0, len(text), size)
+        notes = [json.dumps([matrix.effect(matrix.read_bytes(uri, s, size), b) for b in matrix.STATES]) for s in starts]
+        begun = matrix.chain(pd.DataFrame({"path": uri, "start": list(starts), "note": notes}))
+        found = [r for b in begun.itertuples() for r in matrix.range_rows(uri, b.start, size, b.state, b.depth, b.row)]
+        assert [n for n, _, _ in found] == list(range(1, 13))
+        assert [cells for _, cells, _ in found] == want[1:]
+        assert all(header == want[0] for _, _, header in found)
+
+
+def test_a_large_file_is_many_tasks_and_equals_one_parse(spark, tmp_path):
+    rng = random.Random(3)
+    cells = [*AWKWARD, 12, 0.50, -1e5, True, "long " * 50]
+    (tmp_path / "big.json").write_text(json.dumps(awkward_matrix(rng, 400, lambda r: r.choice(cells))))
+    (tmp_path / "small.json").write_text(json.dumps([["b", "a"], ["1", "2"]]))
+    (tmp_path / "none.json").write_text("")
+    (tmp_path / "bare.json").write_text("[]")
+    (tmp_path / "zipped.json.gz").write_bytes(gzip.compress(json.dumps([["a"], ["z"], ["[y"]]).encode()))
+    columns = ["b", "a", 'h"[', "lacking"]
+    got = matrix.read_json_matrix(spark, str(tmp_path), columns, range_bytes=2000)
+    whole = spark.read.text(str(tmp_path), wholetext=True)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    want = matrix.parse_matrix(whole.withColumn("f", name), "value", columns, ["f"])
+    want = want.select(F.concat_ws("#", "f", F.col("row_no").cast("string")).alias("person_id"), *columns)
+    assert got.rdd.getNumPartitions() > 10
+
+    def plain(df):
+        return sorted(map(tuple, df.collect()), key=lambda r: r[0])
+
+    assert plain(got) == plain(want) and got.count() == 403
+
+
+def test_a_broken_row_is_named(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('[["a"],["x" "y"]]')
+    with pytest.raises(Exception, match="bad.json: the row at byte 7 is no JSON"):
+        matrix.read_json_matrix(spark, str(tmp_path), ["a"]).collect()
+    (tmp_path / "bad.json").write_text('[["a"],["x"')
+    with pytest.raises(Exception, match="the row at byte 7 is not closed"):
+        matrix.read_json_matrix(spark, str(tmp_path), ["a"]).collect()
+
+
 def test_snapshots(spark):
     path = new_path(spark, "snap-test")
     tables.write_snapshot(spark.range(5), path, date(2024, 1, 1))
