@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from equigauge.functions.scalar import round_half_up
-from equigauge.operators import encode, metrics, prefix, profile, split
+from equigauge.operators import encode, metrics, prefix, profile, profiles, split
 from equigauge.plans import applicants as ap
 from equigauge.plans.q_tables import CODES_SQL, _early_late, _split, _stored_split
 from equigauge.plans.registry import query, r4, raw_sql, scored_sql, split_sql
 from equigauge.roles import ROLES
+from equigauge.session import new_path
+from equigauge.sources.tables import write_snapshot
 
 
 def _rounded(df, *columns):
@@ -238,6 +242,44 @@ def a11_sketch(spark, sf):
     return profile.quality_report(ref, cur, [c for c, _ in QUALITY_COLUMNS], exact=False)
 
 
+@query(
+    "a11_merged_profiles",
+    scored_sql(
+        """select feature, rows, missing, min, max, mean, std, distinct_ok, median_ok from ("""
+        + " union all ".join(
+            f"""select '{c}' as feature, count(*) as rows, count(*) filter ({c} is null) as missing,
+  {"min(cast(%s as double))" % c if numeric else "cast(null as double)"} as min,
+  {"max(cast(%s as double))" % c if numeric else "cast(null as double)"} as max,
+  {r4("avg(%s)" % c) if numeric else "cast(null as double)"} as mean,
+  {r4("stddev_samp(%s)" % c) if numeric else "cast(null as double)"} as std,
+  true as distinct_ok, {"true" if numeric else "cast(null as boolean)"} as median_ok from a"""
+            for c, numeric in QUALITY_COLUMNS
+        )
+        + ")"
+    ),
+)
+def a11_merged(spark, sf):
+    """Profiles of each year of orders, stored and merged; sketches held against the rows by their stated errors."""
+    path = new_path(spark, "profiles")
+    scored = ap.scored_applicants(spark, sf)
+    columns = [c for c, _ in QUALITY_COLUMNS]
+    yearly = profiles.build(scored.withColumn("year", F.year("order_ts")), columns, ["year"])
+    write_snapshot(yearly.coalesce(1), path, date(2024, 1, 1))
+    merged = profiles.report(profiles.merge(profiles.read(spark, path)))
+    medians = {r.feature: r.q50 for r in merged.select("feature", "q50").collect()}
+    checks = []
+    for c, numeric in QUALITY_COLUMNS:
+        n, middle = F.count(c), F.lit(medians[c])
+        off = profiles.QUANTILE_ERROR * n
+        fits = (F.count_if(F.col(c) < middle) - off <= n / 2) & (F.count_if(F.col(c) <= middle) + off >= n / 2)
+        median_ok = fits if numeric else F.lit(None).cast("boolean")
+        checks.append(F.struct(F.lit(c).alias("feature"), F.count_distinct(c).alias("d"), median_ok.alias("median_ok")))
+    held = scored.agg(F.array(*checks).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    near = F.abs(F.col("distinct") - F.col("d")) <= F.greatest(F.lit(1.0), 4 * profiles.DISTINCT_ERROR * F.col("d"))
+    out = merged.join(held, "feature").withColumn("distinct_ok", near)
+    return _rounded(out, "mean", "std").select("feature", "rows", "missing", "min", "max", "mean", "std", "distinct_ok", "median_ok")
+
+
 @query(
     "l12_preprocess",
     split_sql(

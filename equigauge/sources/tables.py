@@ -67,6 +67,20 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     return rows.drop("snapshot_run")
 
 
+def read_days(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """The committed snapshots of a span of days, both ends included; only their folders are opened."""
+    newest = CommitLog(spark, path).newest()
+    if not newest:
+        raise FileNotFoundError(f"no snapshot below {path}")
+    low, high = (d.isoformat() if d else None for d in (first, last))
+    folders = [f for d, f in newest["days"].items() if (low is None or d >= low) and (high is None or d <= high)]
+    schema = T.StructType.fromJson(newest["schema"])
+    if not folders:
+        return spark.createDataFrame([], schema).drop("snapshot_run")
+    rows = spark.read.option("basePath", path).schema(schema).parquet(*[f"{path}/{f}" for f in folders])
+    return rows.drop("snapshot_run")
+
+
 def write_splits(
     df: DataFrame, path: str, sensitive_path: str, roles: Roles = ROLES, split: str = "is_test"
 ) -> None:
