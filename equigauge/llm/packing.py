@@ -131,11 +131,14 @@ def pack(found: DataFrame, capacity: int = 1024, partition_pieces: int = PARTITI
     ``found`` needs doc_id and length (1 to ``capacity``) and may carry more
     columns, which stay; it should be a written table, as it is read twice. Full
     pieces are sequences of their own. A group holds about ``partition_pieces``
-    pieces, whatever the number of rows.
+    pieces, whatever the number of rows. Columns of the table that are named
+    sequence_id or offset come back as own_sequence_id and own_offset; bin_id, fill
+    and pack_group are names it works with and may not be the table's.
     """
     for name in ("bin_id", "fill", "pack_group"):
         if unused(found, name) != name:
             raise ValueError(f"the table has a column {name} already")
+    found = found.withColumnsRenamed({c: unused(found, f"own_{c}") for c in found.columns if c.lower() in ("sequence_id", "offset")})
     columns = found.columns
     numbered = found.withColumn("bin_id", -1 - F.monotonically_increasing_id())
     whole = F.col("length") >= capacity

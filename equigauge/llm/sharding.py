@@ -24,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from equigauge.llm.common import unused
 from equigauge.session import materialize
 
 ROWS_PER_BUCKET = 1000
@@ -114,8 +115,11 @@ def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 7) -> DataFra
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
     """Write the documents themselves in their shards, each in slot order.
 
-    ``placed`` as from ``shard_documents``; doc_id must be unique for this.
+    ``placed`` as from ``shard_documents``; doc_id must be unique for this. Columns of
+    the documents that are named shard or slot are written as own_shard and own_slot.
     """
-    where = placed.select(F.col("doc_id").alias("placed_id"), "shard", "slot")
-    rows = docs.join(where, F.col("doc_id") == F.col("placed_id")).drop("placed_id")
+    docs = docs.withColumnsRenamed({c: unused(docs, f"own_{c}") for c in docs.columns if c.lower() in ("shard", "slot")})
+    key = unused(docs, "placed_id")
+    where = placed.select(F.col("doc_id").alias(key), "shard", "slot")
+    rows = docs.join(where, F.col("doc_id") == F.col(key)).drop(key)
     rows.repartition("shard", F.expr("slot div 100000")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -81,6 +81,20 @@ def test_packed_documents_come_back(spark, monkeypatch):
     assert len({r.sequence_id for r in rows}) <= 1.02 * fewest + 1
 
 
+def test_columns_of_the_same_names_come_back(spark):
+    rows = [(i, 10 + i % 50, i * 2, "seq") for i in range(300)]
+    found = spark.createDataFrame(rows, "doc_id bigint, length bigint, Offset int, sequence_id string")
+    got = packing.pack(found, 64, partition_pieces=100).collect()
+    back = {(r.doc_id, r.length, r.own_Offset, r.own_sequence_id) for r in got}
+    assert back == set(rows) and len(got) == 300
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in bins.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))]
+
+
 def test_rounds_of_the_tree(spark):
     rnd = random.Random(4)
     found = spark.createDataFrame([(i, rnd.randint(1, 100)) for i in range(4000)], "doc_id bigint, length bigint").repartition(4)
