@@ -15,7 +15,8 @@ Ids must be below 2**32. Defined results: a null text is empty, so its only
 token is the end id; null doc_ids come first; rows with the same doc_id lie next
 to each other, in an order that their texts fix; an empty table gives no rows.
 
-Files of one partition of the range-partitioned table hold a range of documents.
+The number of partitions follows the bytes of the texts. Files of one partition
+of the range-partitioned table hold a range of documents.
 A file is written under a name of the attempt and then renamed, and its content
 is determined by its rows, so a repeated task writes the same file again.
 """
@@ -42,6 +43,7 @@ BLOCK = 4096
 PERCENTILE = 90
 FILE_IDS = 2_000_000
 FILE_DOCS = 500_000
+PARTITION_BYTES = 1 << 28
 MANIFEST = "file string, part int, seq int, n_docs bigint, n_ids bigint, n_bytes bigint"
 TOKENS = "doc_id bigint, ids binary, n_tokens bigint"
 DECODED = "file string, place int, doc_id bigint, start_in_file bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
@@ -285,8 +287,9 @@ def read_files(spark: SparkSession, folder: str, manifest: DataFrame, with_ids:
 def write_and_read(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Digest of the files: doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     folder = new_path(spark, "token-files")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PARTITION_BYTES))
     manifest = write_files(tokenize(in_order(docs, partitions), tokenizer, end_id), folder)
     if not manifest.head(1):
         return spark.createDataFrame([], "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

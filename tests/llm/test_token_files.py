@@ -85,3 +85,21 @@ def test_repeated_rows_and_empty_table(spark):
     rows = tf.write_and_read(df, WORD).orderBy("start").collect()
     assert [r.start for r in rows] == [0, 2, 4]
     assert tf.write_and_read(df.limit(0), WORD).count() == 0
+
+
+def test_more_partitions_than_the_session_has(spark, monkeypatch):
+    docs = made_docs()
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    monkeypatch.setattr(tf, "PARTITION_BYTES", 5000)
+    asked = []
+    real = tf.in_order
+    monkeypatch.setattr(tf, "in_order", lambda d, partitions: real(d, asked.append(partitions) or partitions))
+    got = [tuple(r) for r in tf.write_and_read(df, WORD).orderBy("start").collect()]
+    assert got == want(docs)
+    assert asked == [-(-sum(len((t or "").encode()) for _, t in docs) // 5000)]
+
+
+def test_one_very_long_text(spark):
+    docs = [(2, "Ünder the sea, x9 " * 60_000), (1, "short"), (3, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in tf.write_and_read(df, WORD).collect()) == sorted(want(docs))
